@@ -130,15 +130,15 @@ def _agg(function: str, metric: str) -> str:
 
 VIEWS["daily"] = f"""
 SELECT data_source, year, month, day, city,
-       round({_agg('avg', 'temperature')}, 6) AS avg_temperature, {_agg('max', 'temperature')} AS max_temperature,
-       {_agg('min', 'temperature')} AS min_temperature, round({_agg('stddev_samp', 'temperature')}, 6) AS temperature_stddev,
-       round({_agg('avg', 'humidity')}, 6) AS avg_humidity, {_agg('max', 'humidity')} AS max_humidity,
+       round({_agg('avg', 'temperature')} + 1e-10, 6) AS avg_temperature, {_agg('max', 'temperature')} AS max_temperature,
+       {_agg('min', 'temperature')} AS min_temperature, round({_agg('stddev_samp', 'temperature')} + 1e-10, 6) AS temperature_stddev,
+       round({_agg('avg', 'humidity')} + 1e-10, 6) AS avg_humidity, {_agg('max', 'humidity')} AS max_humidity,
        {_agg('min', 'humidity')} AS min_humidity,
-       round({_agg('avg', 'pressure')}, 6) AS avg_pressure, {_agg('max', 'pressure')} AS max_pressure,
+       round({_agg('avg', 'pressure')} + 1e-10, 6) AS avg_pressure, {_agg('max', 'pressure')} AS max_pressure,
        {_agg('min', 'pressure')} AS min_pressure,
-       round({_agg('avg', 'wind_speed')}, 6) AS avg_wind_speed, {_agg('max', 'wind_speed')} AS max_wind_speed,
-       round({_agg('avg', 'visibility')}, 6) AS avg_visibility, {_agg('min', 'visibility')} AS min_visibility,
-       round(avg(quality_score), 6) AS avg_quality_score, count(*) AS record_count,
+       round({_agg('avg', 'wind_speed')} + 1e-10, 6) AS avg_wind_speed, {_agg('max', 'wind_speed')} AS max_wind_speed,
+       round({_agg('avg', 'visibility')} + 1e-10, 6) AS avg_visibility, {_agg('min', 'visibility')} AS min_visibility,
+       round(avg(quality_score) + 1e-10, 6) AS avg_quality_score, count(*) AS record_count,
        max(processing_timestamp) AS latest_processing_timestamp, min(processing_timestamp) AS earliest_processing_timestamp
 FROM silver GROUP BY data_source, year, month, day, city"""
 VIEWS["alerts"] = f"""
@@ -249,5 +249,8 @@ def sql(select: str) -> str:
 
 
 def rounded(*columns: str) -> str:
-    """``* REPLACE`` list that rounds columns to six places, and turns negative zero to zero."""
-    return "* REPLACE (" + ", ".join(f"round({c}, 6) + 0.0::DOUBLE AS {c}" for c in columns) + ")"
+    """``* REPLACE`` list that rounds columns to six places, and turns negative zero to zero.
+
+    The small shift keeps values that end in a five at the seventh place from rounding apart in the two engines.
+    """
+    return "* REPLACE (" + ", ".join(f"round({c} + 1e-10, 6) + 0.0::DOUBLE AS {c}" for c in columns) + ")"

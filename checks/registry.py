@@ -54,7 +54,7 @@ def plain(df: DataFrame, *round_columns: str) -> DataFrame:
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if field.name in round_columns:
-            c = F.round(c, 6) + F.lit(0.0)
+            c = F.round(c + F.lit(1e-10), 6) + F.lit(0.0)
         elif isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         columns.append(c.alias(field.name))
@@ -228,7 +228,7 @@ def write_partitioned(spark, sf):
     return _readings_out(spark.read.parquet(path))
 
 
-@query("export_parquet", f"SELECT {rounded('avg_pressure')} FROM gold")
+@query("export_parquet", "SELECT * FROM gold")
 def export_parquet(spark, sf):
     path = new_folder(spark, "gold")
     rows = gold.weather_metrics(_silver(spark, sf), gold_time(), ordered=False)
@@ -251,7 +251,7 @@ def encode_messages(spark, sf):
     return nested.encode_messages(rows, F.coalesce("city", F.lit("none")), ["kafka_offset", "wind_speed"])
 
 
-@query("publish_if_valid", f"SELECT {rounded('avg_pressure')} FROM gold")
+@query("publish_if_valid", "SELECT * FROM gold")
 def publish_if_valid(spark, sf):
     source, target = new_folder(spark, "gold"), new_folder(spark, "published")
     rows = gold.weather_metrics(_silver(spark, sf), gold_time(), ordered=False)
@@ -439,7 +439,7 @@ def silver_table(spark, sf):
 
 @query("silver_for_date", """
 SELECT count(*) > 0 AS success, count(*) AS record_count, count(*) FILTER (WHERE is_valid) AS valid_records,
-       count(*) FILTER (WHERE NOT is_valid) AS invalid_records, round(avg(quality_score), 6) AS avg_quality_score
+       count(*) FILTER (WHERE NOT is_valid) AS invalid_records, round(avg(quality_score) + 1e-10, 6) AS avg_quality_score
 FROM silver_day""")
 def silver_for_date(spark, sf):
     # Copies that came after midnight belong to the next day's run.
@@ -459,8 +459,8 @@ def silver_strict(spark, sf):
 
 @query("quality_metrics", """
 SELECT count(*) AS total_records, count(*) FILTER (WHERE is_valid) AS valid_records, count(*) FILTER (WHERE NOT is_valid) AS invalid_records,
-       round(avg(quality_score), 6) AS avg_quality_score, min(processing_timestamp) AS earliest_record,
-       max(processing_timestamp) AS latest_record, round(count(*) FILTER (WHERE is_valid) * 100 / count(*)::DOUBLE, 6) AS quality_rate
+       round(avg(quality_score) + 1e-10, 6) AS avg_quality_score, min(processing_timestamp) AS earliest_record,
+       max(processing_timestamp) AS latest_record, round(count(*) FILTER (WHERE is_valid) * 100 / count(*)::DOUBLE + 1e-10, 6) AS quality_rate
 FROM silver""")
 def quality_metrics(spark, sf):
     return plain(silver.quality_summary(_silver(spark, sf)), "avg_quality_score", "quality_rate")
@@ -471,19 +471,19 @@ def quality_metrics(spark, sf):
 GOLD_ROUND = ("avg_temperature", "temperature_stddev", "avg_humidity", "avg_pressure", "avg_wind_speed", "avg_visibility", "avg_quality_score")
 
 
-@query("daily_metrics", f"SELECT {rounded('avg_pressure')} FROM daily")
+@query("daily_metrics", "SELECT * FROM daily")
 def daily_metrics(spark, sf):
     return plain(gold.daily_metrics(_silver(spark, sf)), *GOLD_ROUND)
 
 
 @query("hourly_metrics", """
 SELECT data_source, year, month, day, hour, city,
-       round(avg(temperature) FILTER (WHERE temperature <> 0), 6) AS hourly_avg_temperature,
-       round(avg(humidity) FILTER (WHERE humidity > 0), 6) AS hourly_avg_humidity,
-       round(avg(pressure) FILTER (WHERE pressure > 0), 6) AS hourly_avg_pressure,
-       round(avg(wind_speed) FILTER (WHERE wind_speed >= 0), 6) AS hourly_avg_wind_speed,
-       round(avg(visibility) FILTER (WHERE visibility >= 0), 6) AS hourly_avg_visibility,
-       round(avg(quality_score), 6) AS hourly_avg_quality_score, count(*) AS hourly_record_count
+       round(avg(temperature) FILTER (WHERE temperature <> 0) + 1e-10, 6) AS hourly_avg_temperature,
+       round(avg(humidity) FILTER (WHERE humidity > 0) + 1e-10, 6) AS hourly_avg_humidity,
+       round(avg(pressure) FILTER (WHERE pressure > 0) + 1e-10, 6) AS hourly_avg_pressure,
+       round(avg(wind_speed) FILTER (WHERE wind_speed >= 0) + 1e-10, 6) AS hourly_avg_wind_speed,
+       round(avg(visibility) FILTER (WHERE visibility >= 0) + 1e-10, 6) AS hourly_avg_visibility,
+       round(avg(quality_score) + 1e-10, 6) AS hourly_avg_quality_score, count(*) AS hourly_record_count
 FROM silver GROUP BY data_source, year, month, day, hour, city""")
 def hourly_metrics(spark, sf):
     out = gold.hourly_metrics(_silver(spark, sf))
@@ -517,12 +517,12 @@ def attach_alerts(spark, sf):
     return gold.attach_alerts(daily, gold.weather_alerts(_silver(spark, sf)))
 
 
-@query("weather_metrics", f"SELECT {rounded('avg_pressure')} FROM gold ORDER BY data_source, year, month, day, city")
+@query("weather_metrics", "SELECT * FROM gold ORDER BY data_source, year, month, day, city")
 def weather_metrics(spark, sf):
     return plain(gold.weather_metrics(_silver(spark, sf), gold_time()), *GOLD_ROUND)
 
 
-@query("weather_metrics_joined", f"SELECT {rounded('avg_pressure')} FROM gold ORDER BY data_source, year, month, day, city")
+@query("weather_metrics_joined", "SELECT * FROM gold ORDER BY data_source, year, month, day, city")
 def weather_metrics_joined(spark, sf):
     return plain(gold.weather_metrics(_silver(spark, sf), gold_time(), joined=True), *GOLD_ROUND)
 
@@ -530,11 +530,9 @@ def weather_metrics_joined(spark, sf):
 # Market -------------------------------------------------------------------------------------------------------------
 
 TS = "trading_date"
-BAR_ROUND = (
-    "price_change", "daily_return", "high_low_range", "sma_20", "sma_50", "volume_ma", "price_momentum", "volume_momentum",
-    "volatility", "volume_ratio",
-)
-SIDE_ROUND = ("sentiment_ma", "sentiment_change")
+# Sums come out in another order per engine; differences and ratios of the same two numbers do not.
+BAR_ROUND = ("sma_20", "sma_50", "volume_ma", "volatility", "volume_ratio")
+SIDE_ROUND = ("sentiment_ma",)
 
 
 @query("bar_features", f"SELECT {rounded(*BAR_ROUND)} FROM bar_features")
@@ -560,8 +558,8 @@ def volatility_regime_counted(spark, sf):
 
 
 @query("exact_quantiles", """
-SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.1::DOUBLE), 6) AS q0, round(quantile_cont(l_extendedprice, 0.5::DOUBLE), 6) AS q1,
-       round(quantile_cont(l_extendedprice, 0.99::DOUBLE), 6) AS q2 FROM lineitem GROUP BY l_returnflag""")
+SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.1::DOUBLE) + 1e-10, 6) AS q0, round(quantile_cont(l_extendedprice, 0.5::DOUBLE) + 1e-10, 6) AS q1,
+       round(quantile_cont(l_extendedprice, 0.99::DOUBLE) + 1e-10, 6) AS q2 FROM lineitem GROUP BY l_returnflag""")
 def exact_quantiles(spark, sf):
     out = quantiles.exact_quantiles(I.table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice", [0.1, 0.5, 0.99])
     return plain(out, "q0", "q1", "q2")
@@ -605,12 +603,12 @@ def to_number(spark, sf):
     return I.feed(spark, sf).select("symbol", TS, K.to_number("overall_sentiment_score").alias("score"))
 
 
-@query("high_low_range", "SELECT symbol, trading_date, round(high - low, 6) AS high_low_range FROM bars")
+@query("high_low_range", "SELECT symbol, trading_date, high - low AS high_low_range FROM bars")
 def high_low_range(spark, sf):
-    return plain(I.bars(spark, sf).select("symbol", TS, M.high_low_range().alias("high_low_range")), "high_low_range")
+    return I.bars(spark, sf).select("symbol", TS, M.high_low_range().alias("high_low_range"))
 
 
-@query("volume_ratio", "SELECT symbol, trading_date, round(volume_ratio, 6) AS volume_ratio FROM bar_features")
+@query("volume_ratio", "SELECT symbol, trading_date, round(volume_ratio + 1e-10, 6) AS volume_ratio FROM bar_features")
 def volume_ratio(spark, sf):
     return plain(market.bar_features(I.bars(spark, sf), TS).select("symbol", TS, "volume_ratio"), "volume_ratio")
 
@@ -627,27 +625,27 @@ def trend(spark, sf):
 
 
 @query("moving_average", """
-SELECT symbol, trading_date, round(avg(close) OVER (PARTITION BY symbol ORDER BY trading_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS close_ma_7 FROM bars""")
+SELECT symbol, trading_date, round(avg(close) OVER (PARTITION BY symbol ORDER BY trading_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) + 1e-10, 6) AS close_ma_7 FROM bars""")
 def moving_average(spark, sf):
     return plain(market.with_moving_average(I.bars(spark, sf), "close", 7).select("symbol", TS, "close_ma_7"), "close_ma_7")
 
 
-@query("price_change", "SELECT symbol, trading_date, round(price_change, 6) + 0.0::DOUBLE AS price_change FROM bar_features")
+@query("price_change", "SELECT symbol, trading_date, price_change FROM bar_features")
 def price_change(spark, sf):
-    return plain(market.bar_features(I.bars(spark, sf), TS).select("symbol", TS, "price_change"), "price_change")
+    return market.bar_features(I.bars(spark, sf), TS).select("symbol", TS, "price_change")
 
 
-@query("pct_change", "SELECT symbol, trading_date, round(daily_return, 6) + 0.0::DOUBLE AS daily_return, round(price_momentum, 6) + 0.0::DOUBLE AS price_momentum FROM bar_features")
+@query("pct_change", "SELECT symbol, trading_date, daily_return, price_momentum FROM bar_features")
 def pct_change(spark, sf):
-    return plain(market.bar_features(I.bars(spark, sf), TS).select("symbol", TS, "daily_return", "price_momentum"), "daily_return", "price_momentum")
+    return market.bar_features(I.bars(spark, sf), TS).select("symbol", TS, "daily_return", "price_momentum")
 
 
-@query("rolling_std", "SELECT symbol, trading_date, round(volatility, 6) + 0.0::DOUBLE AS volatility FROM bar_features")
+@query("rolling_std", "SELECT symbol, trading_date, round(volatility + 1e-10, 6) + 0.0::DOUBLE AS volatility FROM bar_features")
 def rolling_std(spark, sf):
     return plain(market.bar_features(I.bars(spark, sf), TS).select("symbol", TS, "volatility"), "volatility")
 
 
-@query("rolling_mean", f"SELECT symbol, trading_date, round(sma_20, 6) AS sma_20, round(sma_50, 6) AS sma_50, round(volume_ma, 6) AS volume_ma FROM bar_features")
+@query("rolling_mean", f"SELECT symbol, trading_date, round(sma_20 + 1e-10, 6) AS sma_20, round(sma_50 + 1e-10, 6) AS sma_50, round(volume_ma + 1e-10, 6) AS volume_ma FROM bar_features")
 def rolling_mean(spark, sf):
     return plain(market.bar_features(I.bars(spark, sf), TS).select("symbol", TS, "sma_20", "sma_50", "volume_ma"), "sma_20", "sma_50", "volume_ma")
 
@@ -683,7 +681,7 @@ def violation_counts(spark, sf):
 
 
 @query("price_anomalies", """
-SELECT symbol, trading_date, round(daily_return * 100, 6) AS price_change_pct FROM bar_features
+SELECT symbol, trading_date, round(daily_return * 100 + 1e-10, 6) AS price_change_pct FROM bar_features
 WHERE abs(daily_return * 100) > 5 AND trading_date >= DATE '2000-01-01'""")
 def price_anomalies(spark, sf):
     rows = market.bar_features(I.bars(spark, sf), TS).withColumn("price_change_pct", F.col("daily_return") * 100)
@@ -692,7 +690,7 @@ def price_anomalies(spark, sf):
 
 
 @query("avg_quality_by_symbol", f"""
-SELECT event_type AS symbol, round(avg(value), 6) AS avg_quality_score, count(*) AS record_count FROM events
+SELECT event_type AS symbol, round(avg(value) + 1e-10, 6) AS avg_quality_score, count(*) AS record_count FROM events
 WHERE CAST(ts AS DATE) >= DATE '{AS_OF_DAY}' GROUP BY event_type""")
 def avg_quality_by_symbol(spark, sf):
     events = I.table(spark, sf, "events").select(F.col("event_type").alias("symbol"), F.col("ts").cast("date").alias("date"), F.col("value").alias("data_quality_score"))
@@ -726,7 +724,7 @@ def flatten_forecast(spark, sf):
 
 
 @query("forecast_to_reading", """
-SELECT round(CASE period WHEN 1 THEN (user_id % 90 - 32) * 5 / 9::DOUBLE ELSE user_id % 40 END, 6) + 0.0::DOUBLE AS temperature,
+SELECT round(CASE period WHEN 1 THEN (user_id % 90 - 32) * 5 / 9::DOUBLE ELSE user_id % 40 END + 1e-10, 6) + 0.0::DOUBLE AS temperature,
        CASE period WHEN 1 THEN concat(user_id % 30, ' mph') END AS wind_speed, concat(latitude, '_', longitude) AS city, 'now' AS timestamp,
        CAST(CASE period WHEN 1 THEN user_id % 100 END AS DOUBLE) AS humidity,
        CAST(CASE period WHEN 2 THEN user_id % 300 + 800 END AS DOUBLE) AS pressure, CAST(NULL AS DOUBLE) AS visibility
@@ -936,7 +934,7 @@ def _summary(results: str, pass_percent: int) -> str:
 SELECT max(records) > 0 AND count(*) FILTER (WHERE success) * 100 / count(*)::DOUBLE >= {pass_percent} AS success, max(records) AS total_records,
        count(*) AS validations_checked, count(*) FILTER (WHERE success) AS successful_validations,
        count(*) FILTER (WHERE NOT success) AS failed_validations,
-       round(count(*) FILTER (WHERE success) * 100 / count(*)::DOUBLE, 6) AS success_rate, CAST(NULL AS VARCHAR) AS error FROM ({results})"""
+       round(count(*) FILTER (WHERE success) * 100 / count(*)::DOUBLE + 1e-10, 6) AS success_rate, CAST(NULL AS VARCHAR) AS error FROM ({results})"""
 
 
 @query("gold_summary", _summary(_result("gold", _GOLD_CHECKS, "gold"), 80))
