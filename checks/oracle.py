@@ -128,7 +128,8 @@ def _agg(function: str, metric: str) -> str:
     return f"{function}({metric}) FILTER (WHERE {_USABLE[metric]})"
 
 
-VIEWS["daily"] = f"""
+def _daily(source: str) -> str:
+    return f"""
 SELECT data_source, year, month, day, city,
        round({_agg('avg', 'temperature')} + 1e-10, 6) AS avg_temperature, {_agg('max', 'temperature')} AS max_temperature,
        {_agg('min', 'temperature')} AS min_temperature, round({_agg('stddev_samp', 'temperature')} + 1e-10, 6) AS temperature_stddev,
@@ -140,8 +141,11 @@ SELECT data_source, year, month, day, city,
        round({_agg('avg', 'visibility')} + 1e-10, 6) AS avg_visibility, {_agg('min', 'visibility')} AS min_visibility,
        round(avg(quality_score) + 1e-10, 6) AS avg_quality_score, count(*) AS record_count,
        max(processing_timestamp) AS latest_processing_timestamp, min(processing_timestamp) AS earliest_processing_timestamp
-FROM silver GROUP BY data_source, year, month, day, city"""
-VIEWS["alerts"] = f"""
+FROM {source} GROUP BY data_source, year, month, day, city"""
+
+
+def _alerts(source: str) -> str:
+    return f"""
 SELECT data_source, year, month, day, city,
        CASE WHEN {_agg('max', 'temperature')} > 35 THEN 'HIGH_TEMPERATURE' WHEN {_agg('min', 'temperature')} < -10 THEN 'LOW_TEMPERATURE'
             WHEN {_agg('max', 'wind_speed')} > 20 THEN 'HIGH_WIND' WHEN {_agg('min', 'visibility')} < 1 THEN 'LOW_VISIBILITY'
@@ -150,12 +154,29 @@ SELECT data_source, year, month, day, city,
             WHEN {_agg('max', 'temperature')} > 35 OR {_agg('min', 'temperature')} < -10 OR {_agg('max', 'wind_speed')} > 25 THEN 'HIGH'
             WHEN {_agg('max', 'temperature')} > 30 OR {_agg('min', 'temperature')} < -5 OR {_agg('max', 'wind_speed')} > 15 THEN 'MEDIUM'
             ELSE 'LOW' END AS alert_severity
-FROM silver GROUP BY data_source, year, month, day, city"""
-VIEWS["gold"] = """
+FROM {source} GROUP BY data_source, year, month, day, city"""
+
+
+def _gold(daily: str, alerts: str) -> str:
+    return f"""
 SELECT d.*, a.weather_alert_type, a.alert_severity, TIMESTAMP '2030-01-01 00:00:00' AS gold_processing_timestamp
-FROM daily d LEFT JOIN alerts a ON d.data_source = a.data_source AND d.year = a.year AND d.month = a.month
+FROM {daily} d LEFT JOIN {alerts} a ON d.data_source = a.data_source AND d.year = a.year AND d.month = a.month
   AND d.day = a.day AND d.city = a.city"""
 
+
+VIEWS["daily"] = _daily("silver")
+VIEWS["alerts"] = _alerts("silver")
+VIEWS["gold"] = _gold("daily", "alerts")
+
+VIEWS["cleaned_bronze"] = _cleaned(
+    "coalesce(date_trunc('milliseconds', TRY_CAST(timestamp AS TIMESTAMP)), processing_timestamp)", _CITY, "bronze"
+)
+VIEWS["latest_bronze"] = _latest("cleaned_bronze")
+VIEWS["silver_bronze"] = _scored("latest_bronze")
+VIEWS["daily_bronze"] = _daily("silver_bronze")
+VIEWS["alerts_bronze"] = _alerts("silver_bronze")
+VIEWS["gold_from_bronze"] = _gold("daily_bronze", "alerts_bronze")
+
 VIEWS["bars"] = """
 SELECT symbol, trading_date, arg_min(price, key) AS open, max(price) AS high, min(price) AS low, arg_max(price, key) AS close,
        sum(l_quantity) AS volume

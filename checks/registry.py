@@ -1007,8 +1007,9 @@ def profile(spark, sf):
 # Layers end to end --------------------------------------------------------------------------------------------------
 
 
-@query("run_all")
+@query("run_all", "SELECT * FROM gold_from_bronze")
 def run_all(spark, sf):
     lake, published = new_folder(spark, "lake"), new_folder(spark, "published")
-    jobs.run_all(spark, I.messages(spark, sf), lake, published, processed_at=F.lit("2024-02-01 00:00:00").cast("timestamp"))
-    return plain(spark.read.parquet(published))
+    read_at = F.col("kafka_timestamp") + F.expr("INTERVAL 90 MINUTES")
+    jobs.run_all(spark, I.messages(spark, sf), lake, published, processed_at=read_at, gold_at=gold_time())
+    return plain(spark.read.parquet(published), *GOLD_ROUND)

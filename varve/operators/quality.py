@@ -320,25 +320,36 @@ def records(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """Long-form profile: ``section, item, value``: size, counts of sources and alerts, year range and top cities."""
+def profile(df: DataFrame, shown_cities: int = 5) -> DataFrame:
+    """Long-form profile: ``section, item, value``: size, counts of sources and alerts, year range and top cities.
 
-    def part(section: str, rows: DataFrame, item: str, value: str) -> DataFrame:
-        return rows.select(F.lit(section).alias("section"), F.col(item).cast("string").alias("item"), F.col(value).cast("string").alias("value"))
+    Sizes, counts and range come from one aggregate; the top cities are a bounded sort of another.
+    """
+    text = "string"
+    sections = [F.struct(F.lit("records").alias("section"), F.lit("rows").alias("item"))]
+    for name in ("data_source", "weather_alert_type"):
+        if name in df.columns:
+            sections.append(F.struct(F.lit(name).alias("section"), F.col(name).cast(text).alias("item")))
+    year = F.col("year") if "year" in df.columns else F.lit(None).cast("int")
+    tagged = df.select(year.alias("year"), F.explode(F.array(*sections)).alias("s"))
+    counted = (
+        tagged.where(F.col("s.item").isNotNull())
+        .groupBy("s.section", "s.item")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("year").alias("first"), F.max("year").alias("last"))
+    )
 
-    parts = [part("records", records(df).withColumn("i", F.lit("rows")), "i", "row_count")]
-    for section, column in (("data_source", "data_source"), ("weather_alert_type", "weather_alert_type")):
-        if column in df.columns:
-            parts.append(part(section, value_counts(df, column), "value", "count"))
+    def line(section: Column, item: Column, value: Column) -> Column:
+        return F.struct(section.alias("section"), item.alias("item"), value.cast(text).alias("value"))
+
+    lines = [line(F.col("section"), F.col("item"), F.col("n"))]
     if "year" in df.columns:
-        years = value_range(df, "year")
-        parts += [
-            part("year", years.withColumn("i", F.lit("min")), "i", "min_value"),
-            part("year", years.withColumn("i", F.lit("max")), "i", "max_value"),
-        ]
+        on_size = F.col("section") == "records"
+        for item, value in (("min", F.col("first")), ("max", F.col("last"))):
+            lines.append(F.when(on_size, line(F.lit("year"), F.lit(item), value)))
+    out = counted.select(F.explode(F.array_compact(F.array(*lines))).alias("l")).select("l.*")
     if "city" in df.columns:
-        parts.append(part("top_city", top_values(df, "city"), "value", "count"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        cities = top_values(df, "city", shown_cities)
+        out = out.unionByName(
+            cities.select(F.lit("top_city").alias("section"), F.col("value").cast(text).alias("item"), F.col("count").cast(text).alias("value"))
+        )
     return out

@@ -94,14 +94,22 @@ class LayerFailed(RuntimeError):
     """A layer gave no usable table; later layers did not run."""
 
 
-def run_all(spark: SparkSession, messages: DataFrame, lake: str, published: str, source: str = C.WEATHER_SOURCE, processed_at: Column | None = None) -> DataFrame:
+def run_all(
+    spark: SparkSession,
+    messages: DataFrame,
+    lake: str,
+    published: str,
+    source: str = C.WEATHER_SOURCE,
+    processed_at: Column | None = None,
+    gold_at: Column | None = None,
+) -> DataFrame:
     """Bronze, silver, gold, checks and publication, each from the table the one before wrote; stops at a failure."""
     bronze_path, silver_path, gold_path = (f"{lake.rstrip('/')}/{layer}" for layer in ("bronze", "silver", "gold"))
     check_apart(lake, published)
     write_partitioned(S.bronze(messages, source, processed_at=processed_at), bronze_path)
     if not silver_job(spark, bronze_path, silver_path).success:
         raise LayerFailed("silver: no data")
-    gold_job(spark, silver_path, gold_path, processed_at=processed_at)
+    gold_job(spark, silver_path, gold_path, processed_at=gold_at)
     report = validate(spark, gold_path)
     if not publish_if_valid(spark.read.parquet(gold_path), report, published, source=gold_path):
         raise LayerFailed("gold: the checks failed, nothing was published")

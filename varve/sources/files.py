@@ -68,18 +68,15 @@ def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     max_rows: int | None = C.CSV_ROWS,
-    per_file: bool = False,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """CSV with a header. ``max_rows`` is a row cap of the reader, per file with ``per_file``; ``None`` reads all.
+    """CSV with a header. ``max_rows`` is the reader's row cap per file; ``None`` reads all.
 
     Give a schema for large files: inferring one reads them twice.
     """
     reader = spark.read.option("header", "true")
     df = reader.schema(schema).csv(path) if schema else reader.option("inferSchema", "true").csv(path)
-    if max_rows is None:
-        return df
-    return _first_rows_per_file(df, max_rows) if per_file else df.limit(max_rows)
+    return df if max_rows is None else _first_rows_per_file(df, max_rows)
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
@@ -107,8 +104,7 @@ def read_mixed_dataset(spark: SparkSession, root: str, csv_rows: int | None = C.
             try:
                 if kind == "csv":
                     df = reader.option("header", "true").option("inferSchema", "true").csv(root)
-                    if csv_rows is not None:
-                        df = _first_rows_per_file(df, csv_rows)
+                    df = df if csv_rows is None else _first_rows_per_file(df, csv_rows)
                 else:
                     df = reader.format(kind).load(root)
             except AnalysisException:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -78,45 +78,59 @@ def list_partitions(files: DataFrame, dataset: str, root: str | None = None) ->
         F.array_sort(F.collect_list("partition_value")).alias("partition_values"),
         F.count(F.lit(1)).alias("value_count"),
     )
-    total = values.agg(F.count(F.lit(1)))
-    return lists.select("*", total.scalar().alias("total_partitions"))
+    whole = Window.partitionBy("dataset_name")
+    return lists.withColumn("total_partitions", F.sum("value_count").over(whole))
 
 
 def list_datasets(files: DataFrame, root: str | None = None) -> DataFrame:
-    """Partitioned datasets as one row each, other files singly."""
+    """Partitioned datasets as one row each, other files singly.
+
+    One pass over the listing: files shrink to partitions before the first shuffle, then to values, keys and datasets.
+    A partition with several keys carries its size with the first of them, so that sums count it once.
+    """
+    totals = {"size": F.sum, "last_modified": F.max, "partition_count": F.sum, "root_path": F.min}
+
+    def add_up(rows: DataFrame, *by: str, **more: Column) -> DataFrame:
+        return rows.groupBy(*by).agg(
+            *[f(name).alias(name) for name, f in totals.items()], *[c.alias(name) for name, c in more.items()]
+        )
+
     entries = catalog_files(files, root)
-    whole = entries.where("is_partitioned").groupBy("dataset_name").agg(
-        F.sum("size").alias("size"),
-        F.max("modified").alias("last_modified"),
-        F.count(F.lit(1)).alias("partition_count"),
-        F.min("root_path").alias("root_path"),
-    )
-    per_key = partition_values(files, root).groupBy("dataset_name", "partition_key").agg(
-        F.array_sort(F.collect_list("partition_value")).alias("v")
-    )
-    info = per_key.groupBy("dataset_name").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("partition_key", "v")))).alias("partition_info")
-    )
-    datasets = whole.join(info, "dataset_name", "left").select(
-        F.concat("dataset_name", F.lit("_partitioned")).alias("name"),
-        F.col("dataset_name").alias("key"),
-        "size",
-        "last_modified",
+    single = ["dataset_name", "is_partitioned", "single_key", "single_name"]
+    rows = entries.select(
         "dataset_name",
-        F.lit(True).alias("is_partitioned"),
-        F.col("partition_count").cast("int").alias("partition_count"),
-        "partition_info",
+        "is_partitioned",
+        F.when(~F.col("is_partitioned"), F.col("key")).alias("single_key"),
+        F.when(~F.col("is_partitioned"), F.col("name")).alias("single_name"),
+        F.filter("folders", lambda p: p.contains("=")).alias("pairs"),
+        "size",
+        F.col("modified").alias("last_modified"),
+        F.lit(1).alias("partition_count"),
         "root_path",
     )
-    singles = entries.where(~F.col("is_partitioned")).select(
-        "name",
-        "key",
+    by_pair = add_up(rows, *single, "pairs").select("*", F.posexplode_outer("pairs").alias("at", "pair"))
+    later = F.col("at") > 0
+    once = by_pair.withColumns(
+        {
+            "size": F.when(later, F.lit(0)).otherwise(F.col("size")),
+            "partition_count": F.when(later, F.lit(0)).otherwise(F.col("partition_count")),
+            "partition_key": F.substring_index("pair", "=", 1),
+            "partition_value": F.expr("substring(pair, instr(pair, '=') + 1)"),
+        }
+    )
+    by_value = add_up(once, *single, "partition_key", "partition_value")
+    by_key = add_up(by_value, *single, "partition_key", values=F.array_sort(F.collect_list("partition_value")))
+    entry = F.when(F.col("partition_key").isNotNull(), F.struct("partition_key", "values"))
+    found = add_up(by_key, *single, entries=F.array_sort(F.collect_list(entry)))
+    partitioned = F.col("is_partitioned")
+    return found.select(
+        F.when(partitioned, F.concat("dataset_name", F.lit("_partitioned"))).otherwise(F.col("single_name")).alias("name"),
+        F.when(partitioned, F.col("dataset_name")).otherwise(F.col("single_key")).alias("key"),
         "size",
-        F.col("modified").alias("last_modified"),
+        "last_modified",
         "dataset_name",
         "is_partitioned",
-        F.lit(None).cast("int").alias("partition_count"),
-        F.lit(None).cast("map<string,array<string>>").alias("partition_info"),
+        F.when(partitioned, F.col("partition_count").cast("int")).alias("partition_count"),
+        F.when(partitioned, F.map_from_entries("entries")).alias("partition_info"),
         "root_path",
     )
-    return datasets.unionByName(singles)
