@@ -228,6 +228,8 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
                 detail.alias("detail"),
             )
         )
+    if not rows:
+        return df.sparkSession.createDataFrame([], RESULT)
     measured = df.agg(*aggregates)
     return measured.select(F.explode(F.array(*rows)).alias("r"), "records").select("r.*", "records")
 

@@ -17,13 +17,13 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 
 def page(df: DataFrame, order_by: str | Column | Sequence[str | Column], top: int | None = None, skip: int | None = None) -> DataFrame:
     """Rows ``skip`` to ``skip + top`` in the given order. Both are bounded, so the sort keeps a bounded top."""
-    if not order_by:
+    order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+    if not order:
         raise ValueError("a page needs an order")
     if top is not None and not 1 <= top <= C.MAX_PAGE_ROWS:
         raise ValueError(f"top must lie in 1..{C.MAX_PAGE_ROWS}")
     if skip is not None and not 0 <= skip <= C.MAX_PAGE_SKIP:
         raise ValueError(f"skip must lie in 0..{C.MAX_PAGE_SKIP}")
-    order = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
     out = df.orderBy(*order)
     if skip:
         out = out.offset(skip)

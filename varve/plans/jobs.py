@@ -6,6 +6,7 @@ import datetime as dt
 import time
 from dataclasses import asdict, dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from ..operators import gold as G
 from ..operators import quality as Q
 from ..operators import silver as S
 from ..sinks.files import check_apart, export_parquet, publish_if_valid, write_partitioned
-from ..sources.files import read_table
+from ..sources.files import is_missing, read_table
 
 
 @dataclass(frozen=True)
@@ -52,17 +53,34 @@ def _write_observed(silver: DataFrame, path: str, fmt: str, replace: str) -> Pro
     )
 
 
+NO_DATA = ProcessingResult(False, 0, 0, 0, 0.0, 0)
+
+
+def _read_or_none(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    try:
+        return read_table(spark, path, fmt)
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return None
+
+
 def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, fmt: str = "parquet") -> ProcessingResult:
-    """The whole bronze table to the silver table."""
+    """The whole bronze table to the silver table. A missing or empty table is a failure, and writes nothing."""
     check_apart(bronze_path, silver_path)
-    return _write_observed(S.silver(read_table(spark, bronze_path, fmt)), silver_path, fmt, "table")
+    rows = _read_or_none(spark, bronze_path, fmt)
+    if rows is None:
+        return NO_DATA
+    return _write_observed(S.silver(rows), silver_path, fmt, "table")
 
 
 def silver_for_date(spark: SparkSession, bronze_path: str, silver_path: str, date: str | dt.date, fmt: str = "parquet") -> ProcessingResult:
     """One processing date to its silver partition; other dates stay. No rows is a failure, and writes nothing."""
     check_apart(bronze_path, silver_path)
-    rows = S.for_date(read_table(spark, bronze_path, fmt), date)
-    return _write_observed(S.silver(rows, strict_time=True), silver_path, fmt, "partitions")
+    rows = _read_or_none(spark, bronze_path, fmt)
+    if rows is None:
+        return NO_DATA
+    return _write_observed(S.silver(S.for_date(rows, date), strict_time=True), silver_path, fmt, "partitions")
 
 
 def silver_result(rows: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ import datetime as dt
 from collections.abc import Sequence
 from urllib.parse import urlsplit
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from .. import constants as C
 from ..functions.names import check_name
@@ -25,6 +25,11 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """True when a read failed because there is no data to read."""
+    return error.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -36,10 +41,14 @@ def read_parquet_glob(spark: SparkSession, root: str, hive_layout: bool = True)
 
 
 def read_local_tree(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet file, or all Parquet files at any depth below a directory, whatever the directories are called."""
+    """A Parquet file, or all Parquet files at any depth below a directory, whatever the directories are called.
+
+    Columns are united over the files; a file that cannot be read is skipped.
+    """
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet", "mergeSchema": "true", "ignoreCorruptFiles": "true"}
+    return spark.read.options(**options).parquet(path)
 
 
 def until(df: DataFrame, end_date: str) -> DataFrame:
@@ -101,14 +110,18 @@ def read_mixed_dataset(spark: SparkSession, root: str, csv_rows: int | None = C.
                 .option("ignoreCorruptFiles", "true")
                 .option("ignoreMissingFiles", "true")
             )
+            if kind == "parquet":
+                reader = reader.option("mergeSchema", "true")
             try:
                 if kind == "csv":
                     df = reader.option("header", "true").option("inferSchema", "true").csv(root)
                     df = df if csv_rows is None else _first_rows_per_file(df, csv_rows)
                 else:
                     df = reader.format(kind).load(root)
-            except AnalysisException:
-                continue  # no file of this kind
+            except AnalysisException as error:
+                if not is_missing(error):
+                    raise
+                continue  # no readable file of this kind
             if df.columns:
                 frames.append(df)
     finally:
