@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from varve.functions import market as M
 from varve.operators import market, series
+from varve.session import cut
 from varve.operators.quantiles import exact_quantiles, join_small_salted
 
 
@@ -122,8 +123,10 @@ def test_positions_with_nulls_and_hot_keys(spark, rows_per_task):
     df = spark.createDataFrame(rows, "k string, ts timestamp, v int").repartition(6)
     w = Window.partitionBy("k").orderBy("ts")
     expected = sorted((r.v, r.p) for r in df.withColumn("p", F.row_number().over(w)).collect())
-    placed = series.with_position(df, ["k"], ["ts"])
-    assert sorted((r.v, r[series.POSITION]) for r in placed.collect()) == expected
+    kept = cut(df)
+    for depth in (1, 2, 3):
+        placed = series.with_position(kept, ["k"], ["ts"], series._ladder(df, ["ts"])[:depth])
+        assert sorted((r.v, r[series.POSITION]) for r in placed.collect()) == expected
 
     def build(d, w):
         return d.withColumns({"before": F.lag("v", 2).over(w), "after": F.lead("v", 1).over(w)})
@@ -132,6 +135,42 @@ def test_positions_with_nulls_and_hot_keys(spark, rows_per_task):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, build(df, w).collect()), key=str)
 
 
+def test_buckets_get_finer_only_where_needed(spark):
+    start = dt.datetime(2024, 1, 1)
+
+    def depth(steps, limit, copies=1):
+        rows = [("H", start + i * step, i) for i in range(40) for step in [steps] for _ in range(copies)]
+        return len(series.position_levels(spark.createDataFrame(rows, "k string, ts timestamp, v int"), ["k"], ["ts"], limit)[1])
+
+    assert depth(dt.timedelta(minutes=10), 6) == 1
+    assert depth(dt.timedelta(minutes=10), 5) == 2
+    assert depth(dt.timedelta(seconds=1), 1) == 2
+    assert depth(dt.timedelta(seconds=1), 1, copies=2) == 3
+
+
+@pytest.mark.parametrize("rows_per_task", [6, 25, 60])
+def test_copies_of_one_time_are_split_over_tasks(spark, rows_per_task):
+    rows = [("H", dt.datetime(2024, 1, 1), "0.5", "x")] * 200
+    rows += [("H", dt.datetime(2024, 1, 2) + dt.timedelta(milliseconds=i), f"0.{i:03d}", "x") for i in range(100)]
+    feed = spark.createDataFrame(rows, "symbol string, ts timestamp, overall_sentiment_score string, overall_sentiment_label string").repartition(7)
+
+    def out(**kw):
+        df = market.sentiment_features(feed, **kw).select("ts", "sentiment_score", "sentiment_ma", "sentiment_change")
+        return sorted((tuple(clean(v) for v in r) for r in df.collect()), key=str)
+
+    assert out(long=True, rows_per_task=rows_per_task) == out(long=False)
+
+
+def test_fill_carries_over_empty_buckets(spark):
+    rows = [("A", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i // 3, seconds=i % 3), float(i) if i in (1, 30) else None) for i in range(60)]
+    df = cut(spark.createDataFrame(rows, "k string, ts timestamp, v double").repartition(4))
+    filled = series.FILLED + "v"
+    for depth in (1, 2, 3):
+        placed = series.with_position(df, ["k"], ["ts"], series._ladder(df, ["ts"])[:depth], fill=["v"])
+        got = [r[filled] for r in placed.orderBy("ts").collect()]
+        assert got == [None] + [1.0] * 29 + [30.0] * 30
+
+
 def test_window_reach_must_fit(spark):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1))], "k string, ts timestamp")
     with pytest.raises(ValueError):

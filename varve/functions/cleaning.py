@@ -48,32 +48,26 @@ def clean_wind_speed(column: ColumnLike, mode: str = "all") -> Column:
 
 
 _SECONDS = r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
-_SECONDS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
-
-
-def _parse(text: Column, pattern: str) -> Column:
-    return F.try_to_timestamp(text, F.lit(pattern))
+_WHOLE_SECONDS = rf"\A{_SECONDS}\z"
+_TIME = rf"\A{_SECONDS}(\.\d{{3}}(\d{{3}})?)?(Z|[+-]\d{{2}}:\d{{2}})?\z"
 
 
 def clean_timestamp(column: ColumnLike, fallback: ColumnLike) -> Column:
     """Reading time from its text, with milliseconds kept; texts with no time in them give ``fallback``.
 
-    A text may end in a zone offset. One that looks like a time but cannot be read gives null.
+    A text may end in a zone offset. One that looks like a time but cannot be read gives null. The pattern fixes the
+    form, so that the cast, which is much faster than parsing by format, accepts no other.
     """
     text, fallback = _col(column), _col(fallback)
-    to_millis = F.regexp_replace(text, r"(:\d{2}\.\d{3})\d{3}", "$1")
-    return (
-        F.when(text.isNull() | ~text.rlike(_SECONDS), fallback)
-        .when(text.rlike(_SECONDS + r"\.\d{3}"), _parse(to_millis, _SECONDS_FORMAT + ".SSS[XXX]"))
-        .otherwise(_parse(text, _SECONDS_FORMAT + "[XXX]"))
-    )
+    read = F.date_trunc("millisecond", text.try_cast("timestamp"))
+    return F.when(text.rlike(_TIME), read).when(text.isNull() | ~text.rlike(_SECONDS), fallback)
 
 
 def clean_timestamp_strict(column: ColumnLike, fallback: ColumnLike, exact: bool = True) -> Column:
     """``exact``: whole seconds only; else any text that casts to a time. Unreadable texts give null."""
     text, fallback = _col(column), _col(fallback)
-    parsed = _parse(text, _SECONDS_FORMAT) if exact else text.try_cast("timestamp")
-    return F.when(text.isNull(), fallback).otherwise(parsed)
+    read = text.try_cast("timestamp")
+    return F.when(text.isNull(), fallback).when(text.rlike(_WHOLE_SECONDS) if exact else F.lit(True), read)
 
 
 def clean_city(column: ColumnLike) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .series import POSITION, with_position
+from .series import POSITION, position_levels, with_position
 
 # Field names and shapes of the payloads.
 _VALUE = "struct<value: double>"
@@ -152,7 +152,8 @@ def envelope(
         return encode_messages(
             df.select(at.alias("timestamp"), F.col(key).alias("symbol"), record.alias("data")), "symbol"
         )
-    placed = with_position(df, [key], list(order))
+    df, levels = position_levels(df, [key], list(order))
+    placed = with_position(df, [key], list(order), levels)
     batch = F.floor((F.col(POSITION) - 1) / batch_rows)
     grouped = placed.groupBy(F.col(key).alias("symbol"), batch.alias("__batch")).agg(
         F.array_sort(F.collect_list(F.struct(F.col(POSITION).alias("p"), record.alias("r")))).alias("__rows")

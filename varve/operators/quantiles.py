@@ -1,8 +1,9 @@
 """Exact quantiles per group, with no group held whole by one task.
 
-One pass counts values per group and cell of a fine logarithmic grid; the counts tell in which cell each wanted rank
-lies. A second pass ranks only the distinct values of those cells. The grid only sets how much the second pass
-sees, so the result is exact whatever the data look like.
+Values are counted per group and cell of a logarithmic grid; the counts tell in which cell each wanted rank lies. The
+same is done once more with equal parts of those cells, and only the distinct values of the parts hit are ranked. The
+grid only sets how much is ranked, so the result is exact whatever the data look like: a part spans less than 1e-8
+of its values, which bounds the distinct numbers in it by the precision of a double.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRID = 1e-4
+GRID = 1e-2
+PARTS = 1 << 20
 SALTS = 64
 
 
@@ -24,45 +26,60 @@ def _cell(value: Column) -> Column:
     return F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size).cast("bigint")
 
 
+def _part(value: Column, low: Column, high: Column) -> Column:
+    """Part of the cell from ``low`` to ``high``; does not decrease with the value."""
+    share = F.try_divide(value - low, high - low)
+    return F.coalesce(F.floor(share * PARTS), F.lit(0)).cast("bigint")
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """One row per group that has values: ``keys`` and ``q0, q1, …``, linearly interpolated between ranks.
 
-    Reads ``df`` twice; cut it first when it is costly.
+    Reads ``df`` three times; cut it first when it is costly.
     """
+    spots = [(F.col("__total") - 1) * F.lit(float(p)) for p in probs]
+    ranks = [r for s in spots for r in (F.floor(s), F.ceil(s))]
+
+    def holds_rank(first: Column, rows: Column) -> Column:
+        hit = F.lit(False)
+        for r in ranks:
+            hit = hit | ((r >= first) & (r < first + rows))
+        return hit
+
+    def before(*by: str, order: str) -> Column:
+        earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
+
+    def keep_hit(rows: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
+        """Rows whose cell is wanted, with the columns of the cell. Null keys match each other."""
+        left = rows.withColumn("__at", F.struct(*by))
+        right = wanted.select(F.struct(*by).alias("__at"), *[c for c in wanted.columns if c not in by])
+        return left.join(right, "__at").drop("__at")
+
     v = F.col(value).cast("double")
     values = df.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     values = values.withColumn("__cell", _cell(F.col("__v")))
 
-    earlier = Window.partitionBy(*keys).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = values.groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__rows"))
-    cells = cells.withColumns(
-        {
-            "__before": F.coalesce(F.sum("__rows").over(earlier), F.lit(0)),
-            "__total": F.sum("__rows").over(Window.partitionBy(*keys)),
-        }
+    cells = values.groupBy(*keys, "__cell").agg(
+        F.count(F.lit(1)).alias("__rows"), F.min("__v").alias("__low"), F.max("__v").alias("__high")
     )
-    spots = [(F.col("__total") - 1) * F.lit(float(p)) for p in probs]
-    ranks = [r for s in spots for r in (F.floor(s), F.ceil(s))]
-    inside = [(r >= F.col("__before")) & (r < F.col("__before") + F.col("__rows")) for r in ranks]
-    hit = inside[0]
-    for condition in inside[1:]:
-        hit = hit | condition
-    wanted = cells.where(hit).select(
-        *[F.col(k).alias(f"__w_{k}") for k in (*keys, "__cell")], "__before", "__total"
+    cells = cells.withColumns(
+        {"__before": before(*keys, order="__cell"), "__total": F.sum("__rows").over(Window.partitionBy(*keys))}
     )
+    cells = cells.where(holds_rank(F.col("__before"), F.col("__rows"))).drop("__rows")
 
-    counted = values.groupBy(*keys, "__cell", "__v").agg(F.count(F.lit(1)).alias("__same"))
-    same_cell = F.lit(True)
-    for k in (*keys, "__cell"):
-        same_cell = same_cell & counted[k].eqNullSafe(wanted[f"__w_{k}"])
-    run = Window.partitionBy(*keys, "__cell").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counted.join(wanted, same_cell).withColumn(
-        "__first", F.col("__before") + F.coalesce(F.sum("__same").over(run), F.lit(0))
+    by_cell, by_part = [*keys, "__cell"], [*keys, "__cell", "__part"]
+    inside = keep_hit(values, cells, by_cell).withColumn("__part", _part(F.col("__v"), F.col("__low"), F.col("__high")))
+    parts = inside.groupBy(*by_part).agg(
+        F.count(F.lit(1)).alias("__rows"), F.first("__before").alias("__before"), F.first("__total").alias("__total")
     )
+    parts = parts.withColumn("__before", F.col("__before") + before(*by_cell, order="__part"))
+    parts = parts.where(holds_rank(F.col("__before"), F.col("__rows"))).drop("__rows")
+
+    distinct = inside.groupBy(*by_part, "__v").agg(F.count(F.lit(1)).alias("__rows"))
+    ranked = keep_hit(distinct, parts, by_part).withColumn("__first", F.col("__before") + before(*by_part, order="__v"))
     at = [
-        F.max(
-            F.when((r >= F.col("__first")) & (r < F.col("__first") + F.col("__same")), F.col("__v"))
-        ).alias(f"__at{i}")
+        F.max(F.when((r >= F.col("__first")) & (r < F.col("__first") + F.col("__rows")), F.col("__v"))).alias(f"__at{i}")
         for i, r in enumerate(ranks)
     ]
     found = ranked.groupBy(*keys).agg(F.first("__total").alias("__total"), *at)

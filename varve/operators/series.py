@@ -3,7 +3,7 @@
 A plain window puts a whole series into one task. When the longest series is larger than a task should hold, the
 series is cut into chunks of equal length instead. The cut is exact: every row gets its position in its series from
 row counts per time bucket plus its position inside its bucket, and each chunk also gets the few rows before (and
-after) it that its windows look at.
+after) it that its windows look at. Buckets get finer where one of them holds too many rows.
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut
+
 ROWS_PER_TASK = 1_000_000
 FILLED = "__filled_"
 POSITION = "__position"
-_GROUP, _BUCKET, _CHUNK, _HALO = "__group", "__bucket", "__chunk", "__halo"
+_GROUP, _CHUNK, _HALO = "__group", "__chunk", "__halo"
 
 
 def longest_series(df: DataFrame, keys: Sequence[str]) -> int:
@@ -29,46 +31,92 @@ def is_long(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TA
     return longest_series(df, keys) > rows_per_task
 
 
-def _time_bucket(df: DataFrame, column: str) -> Column:
-    """Hours for timestamps; a date is its own bucket."""
-    kind = df.schema[column].dataType
+def _ladder(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """Ever finer buckets along the order. The last one splits rows that share all order values by their partition."""
+    kind = df.schema[order[0]].dataType
+    time = F.col(order[0])
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("hour", F.col(column))
-    return F.col(column)
+        steps = [F.date_trunc("hour", time), F.date_trunc("second", time)]
+    else:
+        steps = [time]
+    return [*steps, F.struct(*order, F.spark_partition_id().alias("__part"))]
+
+
+def _largest(df: DataFrame, keys: Sequence[str], levels: Sequence[Column]) -> int:
+    rows = df.select(F.struct(*keys, *[c.alias(f"__l{i}") for i, c in enumerate(levels)]).alias("__g"))
+    return rows.groupBy("__g").count().agg(F.max("count")).first()[0] or 0
+
+
+def position_levels(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, list[Column]]:
+    """The coarsest buckets that a task can sort, by a count at each step, and the frame to use them on.
+
+    Hours do for most series, seconds for dense ones. Only where copies of one order value are too many for a task are
+    they told apart by partition, and the frame is then written out first so that its partitions stay as they are.
+    """
+    ladder = _ladder(df, order)
+    for depth in range(1, len(ladder)):
+        if _largest(df, keys, ladder[:depth]) <= rows_per_task:
+            return df, ladder[:depth]
+    return cut(df), ladder
+
+
+def _starts(counts: DataFrame, keys: Sequence[str], buckets: Sequence[str], fill: Sequence[str]) -> DataFrame:
+    """Per bucket: rows of the series before it, and the last known values before it.
+
+    Sums run within the parent bucket only, so a task holds the children of one parent.
+    """
+    *parents, own = buckets
+    outer = [*keys, *parents]
+    earlier = Window.partitionBy(*outer).orderBy(own).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumns(
+        {
+            "__before": F.coalesce(F.sum("__rows").over(earlier), F.lit(0)),
+            **{f"__carry_{c}": F.last(f"__last_{c}", ignorenulls=True).over(earlier) for c in fill},
+        }
+    )
+    if not parents:
+        return counts
+    above = counts.groupBy(*outer).agg(
+        F.sum("__rows").alias("__rows"),
+        *[F.max_by(f"__last_{c}", F.when(F.col(f"__last_{c}").isNotNull(), F.col(own))).alias(f"__last_{c}") for c in fill],
+    )
+    above = _starts(above, keys, parents, fill).select(
+        F.struct(*outer).alias("__outer"),
+        F.col("__before").alias("__before_above"),
+        *[F.col(f"__carry_{c}").alias(f"__above_{c}") for c in fill],
+    )
+    joined = counts.withColumn("__outer", F.struct(*outer)).join(above, "__outer", "left")
+    return joined.withColumns(
+        {
+            "__before": F.col("__before") + F.col("__before_above"),
+            **{f"__carry_{c}": F.coalesce(f"__carry_{c}", f"__above_{c}") for c in fill},
+        }
+    )
 
 
 def with_position(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column | None = None,
+    levels: Sequence[Column],
     fill: Sequence[str] = (),
 ) -> DataFrame:
     """Add the exact position (from 1) of each row in its series as ``__position``.
 
-    ``order`` must tell any two rows of a series apart, so that a retried task ranks them alike.
-    ``bucket`` must not decrease along the order; it bounds what one task sorts. For each column in ``fill`` a
-    forward-filled ``__filled_<column>`` is added: the last known value at or before the row.
+    ``levels`` are buckets from coarse to fine, each not decreasing along the order; the finest bounds what one task
+    sorts. For each column in ``fill`` a forward-filled ``__filled_<column>`` is added: the last known value at or
+    before the row. Rows that share all order values may come in any order among themselves.
     """
     order_struct = F.struct(*order)
-    at = _time_bucket(df, order[0]) if bucket is None else bucket
+    names = [f"__level{i}" for i in range(len(levels))]
     # One struct as key: it is never null itself, and null fields in it are equal to each other.
-    grouped = df.withColumn(_GROUP, F.struct(*keys, at.alias(_BUCKET)))
+    grouped = df.withColumn(_GROUP, F.struct(*keys, *[c.alias(n) for c, n in zip(levels, names)]))
 
     last_known = [
         F.max_by(c, F.when(F.col(c).isNotNull(), order_struct)).alias(f"__last_{c}") for c in fill
     ]
-    earlier = (
-        Window.partitionBy(*[F.col(f"{_GROUP}.{k}") for k in keys])
-        .orderBy(F.col(f"{_GROUP}.{_BUCKET}"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = grouped.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("__rows"), *last_known)
-    starts = starts.select(
-        _GROUP,
-        F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"),
-        *[F.last(f"__last_{c}", ignorenulls=True).over(earlier).alias(f"__carry_{c}") for c in fill],
-    )
+    counts = grouped.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("__rows"), *last_known).select(f"{_GROUP}.*", "*")
+    starts = _starts(counts, keys, names, fill).select(_GROUP, "__before", *[f"__carry_{c}" for c in fill])
 
     # The join and the window share one key, hence one shuffle.
     inside = Window.partitionBy(_GROUP).orderBy(*order)
@@ -111,7 +159,8 @@ def over_series(
         filled = {FILLED + c: F.last(c, ignorenulls=True).over(so_far) for c in fill}
         return build(df.withColumns(filled) if filled else df, w).drop(*helpers)
 
-    ranked = with_position(df, keys, order, fill=fill)
+    df, levels = position_levels(df, keys, order, rows_per_task)
+    ranked = with_position(df, keys, order, levels, fill)
     index = F.col(POSITION) - 1
     own = F.floor(index / rows_per_task)
     offset = F.pmod(index, F.lit(rows_per_task))

@@ -69,7 +69,7 @@ def _first_rows_per_file(df: DataFrame, rows: int) -> DataFrame:
     """The first rows of each file in file order. A task sorts one file split at most."""
     tagged = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__split"))
     tagged = tagged.withColumn("__row", F.monotonically_increasing_id())
-    placed = with_position(tagged, ["__file"], ["__split", "__row"], bucket=F.col("__split"))
+    placed = with_position(tagged, ["__file"], ["__split", "__row"], [F.col("__split")])
     return placed.where(F.col(POSITION) <= rows).drop(POSITION, "__file", "__split", "__row")
 
 
