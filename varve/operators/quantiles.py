@@ -51,10 +51,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         return F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
 
     def keep_hit(rows: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
-        """Rows whose cell is wanted, with the columns of the cell. Null keys match each other."""
-        left = rows.withColumn("__at", F.struct(*by))
-        right = wanted.select(F.struct(*by).alias("__at"), *[c for c in wanted.columns if c not in by])
-        return left.join(right, "__at").drop("__at")
+        """Rows whose cell is wanted, with the columns of the cell; a crowded cell is spread by value."""
+        return join_small_salted(rows, wanted, by, spread=["__v"]).where(F.col("__total").isNotNull())
 
     v = F.col(value).cast("double")
     values = df.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
