@@ -171,6 +171,22 @@ def test_fill_carries_over_empty_buckets(spark):
         assert got == [None] + [1.0] * 29 + [30.0] * 30
 
 
+def test_rolling_matches_sliding_frames(spark):
+    rng = np.random.default_rng(3)
+    values = [None if i in (70, 140) else float(v) for i, v in enumerate(1e6 + rng.normal(0, 1e-3, 200))]
+    df = spark.createDataFrame([("A", i, v) for i, v in enumerate(values)], "k string, i int, v double")
+    w = Window.partitionBy("k").orderBy("i")
+    out = series.rolling(df, w, {"m5": ("v", 5), "m20": ("v", 20)}, {"s20": ("v", 20)})
+    assert out.columns == ["k", "i", "v", "m5", "m20", "s20"]
+    sliding = out.withColumns({"a": M.rolling_mean("v", 5, w), "b": M.rolling_mean("v", 20, w), "c": M.rolling_std("v", 20, w)})
+    for r in sliding.collect():
+        for mine, theirs, close in ((r.m5, r.a, 1e-14), (r.m20, r.b, 1e-14), (r.s20, r.c, 1e-6)):
+            assert (mine is None) == (theirs is None)
+            assert mine is None or mine == pytest.approx(theirs, rel=close)
+    with pytest.raises(ValueError):
+        series.rolling(df, w, {"m": ("v", 7)})
+
+
 def test_window_reach_must_fit(spark):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1))], "k string, ts timestamp")
     with pytest.raises(ValueError):

@@ -12,7 +12,7 @@ from ..functions import market as M
 from ..functions.cleaning import parse_money, to_number
 from ..session import cut
 from .quantiles import exact_quantiles, join_small_salted
-from .series import FILLED, ROWS_PER_TASK, is_long, over_series
+from .series import FILLED, ROWS_PER_TASK, is_long, over_series, rolling
 
 PRICES = ("open", "high", "low", "close", "volume")
 # Rows before a row that its features read: the long mean, and the return before the first one of the volatility.
@@ -33,25 +33,23 @@ def bar_features(bars: DataFrame, ts: str = "ts", rows_per_task: int = ROWS_PER_
 
     def build(df: DataFrame, w) -> DataFrame:
         close, volume = FILLED + "close", FILLED + "volume"
-        first = df.withColumns(
+        changed = df.withColumns(
             {
                 "price_change": M.diff("close", w),
                 "daily_return": M.pct_change(close, 1, w),
                 "high_low_range": M.high_low_range(),
-                "sma_20": M.rolling_mean("close", C.SMA_SHORT_ROWS, w),
-                "sma_50": M.rolling_mean("close", C.SMA_LONG_ROWS, w),
-                "volume_ma": M.rolling_mean("volume", C.VOLUME_ROWS, w),
                 "price_momentum": M.pct_change(close, C.MOMENTUM_ROWS, w),
                 "volume_momentum": M.pct_change(volume, C.MOMENTUM_ROWS, w),
             }
         )
-        return first.withColumns(
-            {
-                "volatility": M.rolling_std("daily_return", C.VOLATILITY_ROWS, w),
-                "volume_ratio": F.try_divide(F.col("volume"), F.col("volume_ma")),
-                "trend": M.trend(),
-            }
-        )
+        means = {
+            "sma_20": ("close", C.SMA_SHORT_ROWS),
+            "sma_50": ("close", C.SMA_LONG_ROWS),
+            "volume_ma": ("volume", C.VOLUME_ROWS),
+        }
+        rolled = rolling(changed, w, means, {"volatility": ("daily_return", C.VOLATILITY_ROWS)})
+        ratio = F.try_divide(F.col("volume"), F.col("volume_ma"))
+        return rolled.withColumns({"volume_ratio": ratio, "trend": M.trend()})
 
     return over_series(
         numeric_bars(bars), ["symbol"], [ts], build, lookback=LOOKBACK, fill=("close", "volume"), rows_per_task=rows_per_task, long=long

@@ -175,3 +175,56 @@ def over_series(
     chunked = chunked.withColumn(_HALO, F.col(_CHUNK) != F.col("__own"))
     out = build(chunked, Window.partitionBy(*keys, _CHUNK).orderBy(POSITION))
     return out.where(~F.col(_HALO)).drop(POSITION, _CHUNK, _HALO, "__own", *helpers)
+
+
+BLOCK = 5
+
+
+def rolling(df: DataFrame, w: WindowSpec, means: dict[str, tuple[str, int]], stds: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+    """Means and sample deviations over full windows of known values, else null: ``{name: (column, rows)}``.
+
+    A sliding frame adds up all its rows anew at each row. So only short blocks are added up, and a window is put
+    together from the blocks that end in it, which works for window lengths that are multiples of the block. Blocks
+    with a missing value are null and make every window over them null. Deviations combine block means and block
+    sums of squares about them, so nothing large is subtracted.
+    """
+    stds = stds or {}
+    for rows in (rows for _, rows in [*means.values(), *stds.values()]):
+        if rows % BLOCK:
+            raise ValueError(f"window length {rows} is no multiple of {BLOCK}")
+
+    block = w.rowsBetween(1 - BLOCK, 0)
+    reach = {}
+    for c, rows in [*means.values(), *stds.values()]:
+        reach[c] = max(reach.get(c, 0), rows)
+    squares = {c: max(rows for col, rows in stds.values() if col == c) for c in {c for c, _ in stds.values()}}
+
+    def full(c: str, value: Column) -> Column:
+        return F.when(F.count(c).over(block) == BLOCK, value)
+
+    blocks = {f"__mean_{c}_0": full(c, F.avg(c).over(block)) for c in reach}
+    blocks |= {f"__sq_{c}_0": full(c, F.var_pop(c).over(block) * BLOCK) for c in squares}
+    lags = {
+        f"{prefix}_{c}_{back}": F.lag(f"{prefix}_{c}_0", back).over(w)
+        for prefix, longest in (("__mean", reach), ("__sq", squares))
+        for c, rows in longest.items()
+        for back in range(BLOCK, rows, BLOCK)
+    }
+
+    def parts(prefix: str, c: str, rows: int) -> list[Column]:
+        return [F.col(f"{prefix}_{c}_{back}") for back in range(0, rows, BLOCK)]
+
+    def mean(c: str, rows: int) -> Column:
+        return sum(parts("__mean", c, rows)[1:], parts("__mean", c, rows)[0]) / (rows // BLOCK)
+
+    staged = df.withColumns(blocks).withColumns(lags) if lags else df.withColumns(blocks)
+    out = staged.withColumns({name: mean(c, rows) for name, (c, rows) in means.items()})
+    if stds:
+        out = out.withColumns({f"__mid_{name}": mean(c, rows) for name, (c, rows) in stds.items()})
+        spread = {}
+        for name, (c, rows) in stds.items():
+            apart = [m - F.col(f"__mid_{name}") for m in parts("__mean", c, rows)]
+            total = sum(parts("__sq", c, rows), F.lit(0.0)) + sum((a * a for a in apart), F.lit(0.0)) * BLOCK
+            spread[name] = F.sqrt(total / (rows - 1))
+        out = out.withColumns(spread)
+    return out.drop(*blocks, *lags, *[f"__mid_{name}" for name in stds])
