@@ -214,7 +214,8 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
         else:
             try:
                 needed, success, detail = _measure(df, check, n)
-                like.agg(*aggregates, *needed)  # resolves names and types against the schema alone
+                if needed:
+                    like.agg(*needed)  # resolves names and types against the schema alone
             except Exception as error:  # a check that cannot be built fails alone
                 needed, success, detail = [], F.lit(False), F.lit(f"error: {error}")
         aggregates += needed
