@@ -9,10 +9,12 @@ import sys
 import time
 
 from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from varve.functions import market as M
-from varve.operators import dedup, gold, market, quality, silver
 from varve.functions import cleaning as K
+from varve.functions import market as M
+from varve.operators import dedup, gold, quality, silver
+from varve.operators.series import rolling
 from varve.plans import jobs
 from varve.session import get_session
 from varve.sinks.files import write_partitioned
@@ -33,17 +35,24 @@ def three_actions(spark, bronze: str, target: str) -> None:
     write_partitioned(out, target)
 
 
-def sliding(bars: DataFrame) -> DataFrame:
-    w = Window.partitionBy("symbol").orderBy("trading_date")
-    first = bars.withColumns(
+def priced(spark, sf_dir: str) -> DataFrame:
+    """Every line as a point of one of six series, in an order that tells any two lines apart."""
+    lines = I.table(spark, sf_dir, "lineitem")
+    key = F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
+    return lines.select((F.col("l_suppkey") % 6).alias("k"), key.alias("at"), F.col("l_extendedprice").alias("price"))
+
+
+def rolled(points: DataFrame, blocks: bool) -> DataFrame:
+    w = Window.partitionBy("k").orderBy("at")
+    if blocks:
+        return rolling(points, w, {"m20": ("price", 20), "m50": ("price", 50)}, {"s20": ("price", 20)})
+    return points.withColumns(
         {
-            "daily_return": M.pct_change("close", 1, w),
-            "sma_20": M.rolling_mean("close", 20, w),
-            "sma_50": M.rolling_mean("close", 50, w),
-            "volume_ma": M.rolling_mean("volume", 20, w),
+            "m20": M.rolling_mean("price", 20, w),
+            "m50": M.rolling_mean("price", 50, w),
+            "s20": M.rolling_std("price", 20, w),
         }
     )
-    return first.withColumn("volatility", M.rolling_std("daily_return", 20, w))
 
 
 def check_by_check(df: DataFrame) -> None:
@@ -55,13 +64,12 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("forms", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
-    bronze, table, bars_at = (new_folder(spark, n) for n in ("bronze", "silver", "bars"))
+    bronze, table = (new_folder(spark, n) for n in ("bronze", "silver"))
     write_partitioned(I.readings(spark, sf_dir), bronze)
     readings = spark.read.parquet(bronze)
     write_partitioned(silver.silver(readings), table)
     rows = spark.read.parquet(table).select(*silver.schemas.SILVER.names)
-    I.bars(spark, sf_dir).write.parquet(bars_at)
-    bars = spark.read.parquet(bars_at)
+    points = priced(spark, sf_dir)
     cleaned = silver.clean(readings, K.clean_timestamp("timestamp", "processing_timestamp"))
 
     pairs = {
@@ -77,9 +85,9 @@ def main() -> None:
             lambda: three_actions(spark, bronze, new_folder(spark, "silver")),
             lambda: jobs.silver_job(spark, bronze, new_folder(spark, "silver")),
         ),
-        "bar windows: sliding frames / blocks": (
-            lambda: throw_away(sliding(bars)),
-            lambda: throw_away(market.bar_features(bars, "trading_date", long=False)),
+        "rolling windows: sliding frames / blocks": (
+            lambda: throw_away(rolled(points, False)),
+            lambda: throw_away(rolled(points, True)),
         ),
         "dedup: whole-row aggregate / ranked window": (
             lambda: throw_away(dedup.keep_latest_by_aggregate(cleaned)),

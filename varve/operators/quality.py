@@ -198,6 +198,11 @@ def _measure(df: DataFrame, check: Check, i: int) -> tuple[list[Column], Column,
     )
 
 
+def _surely_resolves(df: DataFrame, check: Check) -> bool:
+    numeric = isinstance(df.schema[check.column].dataType, T.NumericType)
+    return check.kind == "not_null" or (check.kind in ("between", "greater") and numeric)
+
+
 def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
     """One row per check, from one pass over ``df``; only the columns the checks name are read."""
     aggregates: list[Column] = [F.count(F.lit(1)).alias("records")]
@@ -214,8 +219,8 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
         else:
             try:
                 needed, success, detail = _measure(df, check, n)
-                if needed:
-                    like.agg(*needed)  # resolves names and types against the schema alone
+                if needed and not _surely_resolves(df, check):
+                    like.agg(*needed)  # resolves types against the schema alone
             except Exception as error:  # a check that cannot be built fails alone
                 needed, success, detail = [], F.lit(False), F.lit(f"error: {error}")
         aggregates += needed
