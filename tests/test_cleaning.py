@@ -106,7 +106,7 @@ def test_numbers_from_text(values):
     assert values([("1.5",), ("None",)], "t string", K.to_number("t")) == [1.5, None]
 
 
-def test_market_hours(values):
+def test_market_hours(spark, values):
     at = {
         dt.datetime(2024, 7, 1, 13, 30): True,  # Monday, 09:30 in New York (summer)
         dt.datetime(2024, 7, 1, 13, 29, 59): False,
@@ -117,6 +117,11 @@ def test_market_hours(values):
         dt.datetime(2024, 7, 6, 15, 0): False,  # Saturday
     }
     assert values([(t,) for t in at], "t timestamp_ntz", M.market_hours("t")) == list(at.values())
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert values([(t,) for t in at], "t timestamp_ntz", M.market_hours("t")) == list(at.values())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_safe_names(values):

@@ -12,11 +12,17 @@ def _col(column: str | Column) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def _seconds(clock: str) -> int:
+    hours, minutes, seconds = map(int, clock.split(":"))
+    return hours * 3600 + minutes * 60 + seconds
+
+
 def market_hours(ts: str | Column, zone: str = "UTC") -> Column:
     """True on weekdays from open to close (both included) in the market's own zone."""
     local = F.convert_timezone(F.lit(zone), F.lit(C.MARKET_ZONE), _col(ts).cast("timestamp_ntz"))
-    clock = F.date_format(local, "HH:mm:ss.SSSSSS")
-    return (F.weekday(local) < 5) & clock.between(C.MARKET_OPEN, C.MARKET_CLOSE + ".000000")
+    # Fields of a zoneless time do not depend on the session's zone.
+    seconds = F.hour(local) * 3600 + F.minute(local) * 60 + F.date_part(F.lit("SECOND"), local)
+    return (F.weekday(local) < 5) & seconds.between(_seconds(C.MARKET_OPEN), _seconds(C.MARKET_CLOSE))
 
 
 def high_low_range() -> Column:
