@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe
 from .minhash import near_duplicates
+from .quality_gam import remainder, score_quality
 
+TOKENIZER_FOLDER = "/opt/tokenizers"
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +34,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op9_minhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
+@query("op6_bpe_round_trip")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), f"{TOKENIZER_FOLDER}/word_bpe_49k.json")
+    return out.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op8_quality_gam")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = remainder("doc_id", 3)
+    out = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), rest != 1)
+    return out.select("doc_id", (rest == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
