@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, secret_scan
+from .decontamination import contained_items
 from .minhash import near_duplicates
 from .quality_gam import remainder, score_quality
 
@@ -52,3 +53,37 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = remainder("doc_id", 3)
     out = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), rest != 1)
     return out.select("doc_id", (rest == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+_SHINGLES = r"""(SELECT DISTINCT {id}, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT {id}, w, unnest(range(1, len(w) - 3)) AS i
+          FROM (SELECT {id}, list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+                FROM {table} WHERE {id} IS NOT NULL) WHERE len(w) >= 5))"""
+
+_OP3 = f"""
+WITH d AS {_SHINGLES.format(id="doc_id", table="documents")}, q AS {_SHINGLES.format(id="item_id", table="benchmark")},
+n AS (SELECT item_id, count(*) AS n_item FROM q GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_common, n_item, count(*) / n_item AS containment
+FROM d JOIN q USING (s) JOIN n USING (item_id)
+GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item"""
+
+
+@query("op3_benchmark_decontamination", _OP3)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_secret_scans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+
+    def base() -> Column:
+        return F.filter("spans", lambda s: s["kind"] != "random")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(secret_scan.listed(base()).cast("binary"), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans")
+    )
