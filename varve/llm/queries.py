@@ -11,6 +11,7 @@ from . import bpe, secret_scan
 from .decontamination import contained_items
 from .minhash import near_duplicates
 from .quality_gam import remainder, score_quality
+from .toxicity import learn, score_toxicity
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +88,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"), F.sha2(secret_scan.listed(base()).cast("binary"), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans")
     )
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = remainder("doc_id", 5)
+    docs = table(spark, sf_dir, "documents")
+    out = score_toxicity(docs, learn(docs, table(spark, sf_dir, "labels"), rest != 0))
+    return out.select("doc_id", (rest == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_hits")
