@@ -123,14 +123,14 @@ def load(path: str, leaf: int = LEAF) -> Bpe:
     return _LOADED[path, leaf]
 
 
-def _apply(column: str, target: str, kind: pa.DataType, one, path: str, leaf: int):
+def _apply(column: str, target: str, kind: pa.DataType, one, path: str | None, leaf: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = load(path, leaf)
+        tool = load(path, leaf) if path else None
         for batch in batches:
             at = batch.schema.get_field_index(column)
             values = pa.array([one(tool, v.as_py()) for v in batch.column(at)], kind)
-            names = [n for n in batch.schema.names if n != column]
-            rest = [c for i, c in enumerate(batch.columns) if i != at]
+            stay = [i for i, n in enumerate(batch.schema.names) if n not in (column, target)]
+            names, rest = [batch.schema.names[i] for i in stay], [batch.column(i) for i in stay]
             yield pa.RecordBatch.from_arrays([*rest, values], names=[*names, target])
 
     return run
@@ -140,7 +140,7 @@ def encode(docs: DataFrame, path: str, text_column: str = "text", ids_column: st
     """``docs`` with the text column replaced by the ids of the text as packed little-endian 32-bit integers.
 
     Special tokens in a text are encoded as such, none are added. Null and empty texts have no ids. All other columns
-    stay as they are; a column that already has the name of ``ids_column`` is an error.
+    stay as they are; one that already has the name of ``ids_column`` is replaced.
     """
     return _run(docs, text_column, ids_column, "binary", pa.binary(), lambda t, v: t.encode(v or ""), path, leaf)
 
@@ -150,22 +150,18 @@ def decode(tokens: DataFrame, path: str, ids_column: str = "ids", text_column: s
     return _run(tokens, ids_column, text_column, "string", pa.string(), lambda t, v: t.decode(np.frombuffer(v or b"", dtype="<u4")), path, leaf)
 
 
-def _run(df: DataFrame, column: str, target: str, sql: str, kind: pa.DataType, one, path: str, leaf: int) -> DataFrame:
-    if target != column and target in df.columns:
-        raise ValueError(f"there is a column {target} already")
+def _run(df: DataFrame, column: str, target: str, sql: str, kind: pa.DataType, one, path: str | None, leaf: int) -> DataFrame:
     reachable(df.sparkSession)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != column), f"`{target}` {sql}"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in (column, target)), f"`{target}` {sql}"])
     return df.mapInArrow(_apply(column, target, kind, one, path, leaf), schema)
 
 
-def unpacked(ids: str = "ids"):
-    """Packed ids as an array of integers."""
-    place = F.sequence(F.lit(0), F.expr(f"length(`{ids}`) div 4 - 1"))
-    value = F.transform(place, lambda i: F.conv(F.hex(F.reverse(F.substring(F.col(ids), i * 4 + 1, F.lit(4)))), 16, 10).cast("int"))
-    return F.when(F.length(ids) > 0, value).otherwise(F.array().cast("array<int>"))
+def unpacked(tokens: DataFrame, ids_column: str = "ids") -> DataFrame:
+    """``tokens`` with packed ids as arrays of integers."""
+    return _run(tokens, ids_column, ids_column, "array<int>", pa.list_(pa.int32()), lambda t, v: np.frombuffer(v or b"", dtype="<i4"), None, LEAF)
 
 
 def round_trip(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
-    """The other columns of ``docs`` with ``ids`` (packed) and ``decoded``."""
-    coded = encode(docs, path, text_column)
-    return decode(coded.withColumn("packed", F.col("ids")), path).withColumnRenamed("packed", "ids")
+    """The other columns of ``docs`` with ``ids`` (packed) and ``decoded``; columns of these names are replaced."""
+    coded = encode(docs.drop("_packed"), path, text_column)
+    return decode(coded.withColumn("_packed", F.col("ids")), path).withColumnRenamed("_packed", "ids")

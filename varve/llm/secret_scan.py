@@ -124,10 +124,8 @@ def scan(docs: DataFrame, model: Model, text_column: str = "text", spans_column:
     Kinds are ``assign``, ``access`` and ``hex`` by pattern, and ``random`` for tokens of 20 characters or more whose
     likelihood ratio reaches ``threshold`` and that overlap no span by pattern. Null and empty texts have none. Rows
     are judged each by itself, so repeated rows give repeated results. A column that already has the name of
-    ``spans_column`` is an error.
+    ``spans_column`` is replaced.
     """
-    if spans_column in docs.columns:
-        raise ValueError(f"there is a column {spans_column} already")
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
     pair = F.array(F.struct(base_spans(text).alias("base"), located(text, TOKEN, 1).alias("tokens")))
 
