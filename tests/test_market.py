@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from varve.functions import market as M
 from varve.operators import market, series
 from varve.session import cut
-from varve.operators.quantiles import exact_quantiles, join_small_salted
+from varve.operators.quantiles import exact_quantiles, join_null_safe
 
 
 def clean(value):
@@ -232,10 +232,10 @@ def test_regime_edges_belong_below(spark):
         assert got == sorted([*expected, ("A", 0, None), *[("B", 1.0, "low")] * 3], key=str), long
 
 
-def test_salted_join_keeps_all_rows(spark):
+def test_join_keeps_all_rows(spark):
     big = spark.createDataFrame([("a", i) for i in range(100)] + [(None, 1), ("b", 2)], "k string, v int")
     small = spark.createDataFrame([("a", 1.0), (None, 2.0)], "k string, q double")
-    got = sorted(((r.k, r.v, r.q) for r in join_small_salted(big, small, ["k"], ["v"], salts=7).collect()), key=str)
+    got = sorted(((r.k, r.v, r.q) for r in join_null_safe(big, small, ["k"]).collect()), key=str)
     assert got == sorted([("a", i, 1.0) for i in range(100)] + [(None, 1, 2.0), ("b", 2, None)], key=str)
 
 
@@ -285,3 +285,34 @@ def test_reports(spark):
 
 def test_trend_needs_both_means(values):
     assert values([(2.0, 1.0), (1.0, 2.0), (None, 1.0)], "sma_20 double, sma_50 double", M.trend()) == ["uptrend", "downtrend", "downtrend"]
+
+
+def test_not_a_number_is_missing(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("A", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), v) for i, v in enumerate(["NaN", "71", "nan", "20"])]
+    df = spark.createDataFrame([(*r, "NaN", "1", "0") for r in rows], "symbol string, ts timestamp, rsi string, macd string, macd_signal string, macd_hist string")
+    got = [(r.rsi_overbought, r.rsi_oversold, r.macd_crossover) for r in market.indicator_features(df).orderBy("ts").collect()]
+    assert got == [(False, False, False), (True, False, False), (False, False, False), (False, True, False)]
+    prices = [10.0, nan, 11.0, *[12.0 + i for i in range(30)]]
+    bars = spark.createDataFrame([("A", dt.date(2024, 1, 1) + dt.timedelta(days=i), p, p, p, p, 1.0) for i, p in enumerate(prices)], "symbol string, ts date, open double, high double, low double, close double, volume double")
+    out = market.bar_features(bars).orderBy("ts").collect()
+    assert out[1].daily_return == 0.0 and out[1].close is None and out[1].price_change is None
+    assert out[20].sma_20 is None and out[21].sma_20 is not None
+    values = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, nan, nan, inf, -inf]
+    series = spark.createDataFrame([("A", v) for v in values], "symbol string, volatility double")
+    forms = [sorted((str(r.volatility), str(r.volatility_regime)) for r in market.volatility_regime(series, long=long).collect()) for long in (False, True)]
+    assert forms[0] == forms[1]
+    assert dict(forms[0])["None"] == "None" and dict(forms[0])["inf"] == "high" and dict(forms[0])["-inf"] == "low"
+
+
+def test_plans_are_built_without_jobs(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    spark.createDataFrame([("A", dt.date(2024, 1, 1), 1.0, 1.0, 1.0, 1.0, 1.0)], "symbol string, ts date, open double, high double, low double, close double, volume double").write.parquet(path)
+    bars = spark.read.parquet(path)
+    tracker, group = spark.sparkContext.statusTracker(), "building"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        market.market_features(bars)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not tracker.getJobIdsForGroup(group)

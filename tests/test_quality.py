@@ -91,7 +91,7 @@ def test_unexpected(df):
 
 
 def test_counts(df, spark):
-    assert sorted(tuple(r) for r in Q.null_counts(df).collect()) == [("b", 1), ("s", 1), ("x", 1)]
+    assert sorted(tuple(r) for r in Q.null_counts(df).collect()) == [("b", 1), ("s", 1), ("x", 2)]  # one null, one not-a-number
     twice = df.unionByName(df).unionByName(df.limit(0))
     assert Q.duplicate_count(twice).first().duplicates == 4
     assert Q.duplicate_count(df.limit(0)).first().duplicates == 0
@@ -107,8 +107,10 @@ def test_profile(spark):
     assert got == sorted([
         ("records", "rows", "3"), ("data_source", "noaa", "2"), ("data_source", "x", "1"), ("weather_alert_type", "NORMAL", "2"),
         ("year", "min", "2023"), ("year", "max", "2024"), ("top_city", "A", "2"), ("top_city", "B", "1"),
+        ("columns", "count", "4"), ("column", "1", "data_source"), ("column", "2", "year"), ("column", "3", "city"), ("column", "4", "weather_alert_type"),
     ])
-    assert [tuple(r) for r in Q.profile(spark.range(3).toDF("z")).collect()] == [("records", "rows", "3")]
+    plain = sorted(tuple(r) for r in Q.profile(spark.range(3).toDF("z")).collect())
+    assert plain == [("column", "1", "z"), ("columns", "count", "1"), ("records", "rows", "3")]
 
 
 def test_union_and_page(spark):
@@ -116,9 +118,28 @@ def test_union_and_page(spark):
     assert sorted(map(tuple, tables.union_all([a, b]).collect())) == [(1, "x", None), (2, None, 2.5)]
     df = spark.range(100).toDF("i")
     assert [r.i for r in tables.page(df, F.col("i").desc(), top=3, skip=5).collect()] == [94, 93, 92]
-    assert tables.page(df, "i", skip=98).count() == 2
-    for bad in ({"top": 0}, {"top": 10_001}, {"skip": -1}, {"skip": 100_001}):
+    assert tables.page(df, "i", top=10, skip=98).count() == 2
+    for bad in ({"top": 0}, {"top": 10_001}, {"top": 1, "skip": -1}, {"top": 1, "skip": 100_001}):
         with pytest.raises(ValueError):
             tables.page(df, "i", **bad)
+    with pytest.raises(TypeError):
+        tables.page(df, "i", skip=5)  # unbounded
     with pytest.raises(ValueError):
-        tables.page(df, [])
+        tables.page(df, [], top=1)
+
+
+def test_not_a_number_is_missing(spark):
+    df = spark.createDataFrame([(float("nan"), "a"), (1.0, None)], "x double, s string")
+    assert {r.column: r.nulls for r in Q.null_counts(df).collect()} == {"x": 1, "s": 1}
+    results = Q.run_suite(df, Q.Suite("s", (Q.not_null("x"), Q.not_null("s")))).collect()
+    assert [(r.success, r.detail) for r in results] == [(False, "1 nulls"), (False, "1 nulls")]
+
+
+def test_bounds_may_be_open(spark):
+    suite = Q.Suite("s", (Q.row_count(), Q.row_count(1, 2), Q.between("id", 0, None), Q.between("id", None, 3)))
+    assert [r.success for r in Q.run_suite(spark.range(12_000_000), suite).orderBy("n").collect()] == [True, False, True, False]
+
+
+def test_duplicates_by_hash(spark):
+    df = spark.createDataFrame([(1, None, "a"), (None, 1, "a"), (1, None, "a"), (None, None, None), (None, None, None), (1, 1, "b")], "x int, y int, s string")
+    assert Q.duplicate_count(df).first()[0] == 2

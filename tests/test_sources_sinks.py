@@ -24,8 +24,8 @@ def explain(df):
 
 def test_stream_options():
     options = kafka_source.stream_options("weather-forecast")
-    assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "1000" and options["failOnDataLoss"] == "false"
-    assert "maxOffsetsPerTrigger" not in kafka_source.stream_options("t", max_offsets=None)
+    assert options["startingOffsets"] == "earliest" and "maxOffsetsPerTrigger" not in options and options["failOnDataLoss"] == "false"
+    assert kafka_source.stream_options("t", max_offsets=1000)["maxOffsetsPerTrigger"] == "1000"
     producer = kafka_sink.producer_options("t")
     assert (producer["kafka.acks"], producer["kafka.retries"], producer["kafka.compression.type"]) == ("all", "3", "snappy")
 
@@ -131,7 +131,7 @@ def test_csv_first_rows_per_file(spark, tmp_path):
         assert sorted(r.i for r in out if r["name"] == "b") == [0, 1, 2]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
-    assert sources.read_csv(spark, str(tmp_path), max_rows=None).count() == 2003
+    assert sources.read_csv(spark, str(tmp_path)).count() == 2003
 
 
 def test_mixed_dataset(spark, tmp_path):
@@ -143,7 +143,9 @@ def test_mixed_dataset(spark, tmp_path):
     spark.createDataFrame([(5, "p")], "id int, y string").coalesce(1).write.mode("append").parquet(str(root / "year=2023/kind=03/c"))
     (root / "year=2023/kind=03/broken.parquet").write_text("not parquet")
     (root / "readme.txt").write_text("ignored")
-    out = sources.read_mixed_dataset(spark, str(root), csv_rows=2)
+    with pytest.raises(Exception, match="broken.parquet"):
+        sources.read_mixed_dataset(spark, str(root)).collect()
+    out = sources.read_mixed_dataset(spark, str(root), csv_rows=2, skip_corrupt=True)
     got = sorted((r.id, r.x, r.y, r.year, r.kind) for r in out.select("id", "x", "y", "year", "kind").collect())
     assert got == [(1, 2.5, None, "2024", "01"), (2, 3.5, None, "2024", "01"), (4, None, "q", "2023", "02"), (5, None, "p", "2023", "03")]
     assert spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "true"
@@ -280,10 +282,85 @@ def test_run_all_stops_at_bad_data(spark, tmp_path, sf):
     # Three of twelve checks fail: the year, the source, and the temperatures.
     odd = messages.withColumn("value", F.encode(F.lit('{"temperature": 500.0, "city": "A"}'), "utf-8"))
     with pytest.raises(jobs.LayerFailed, match="checks failed"):
-        jobs.run_all(spark, odd, lake, out, source="unknown", processed_at=F.lit("1999-01-01").cast("timestamp"))
+        jobs.run_all(spark, odd, str(tmp_path / "odd"), out, source="unknown", processed_at=F.lit("1999-01-01").cast("timestamp"))
     assert not os.path.exists(out)
     report = jobs.run_all(spark, messages, lake, out).first()
     assert report.success and spark.read.parquet(out).count() == report.total_records
+    again = jobs.run_all(spark, messages, lake, out).first()  # the same messages once more
+    assert again == report
+
+
+def test_runs_add_up(spark, tmp_path, sf):
+    messages, at = I.messages(spark, sf), F.col("kafka_timestamp")
+    fixed = F.lit("2030-01-01").cast("timestamp")
+    parts = [messages.where("offset % 2 = 0"), messages.where("offset % 2 = 1")]
+    for part in parts:
+        jobs.run_all(spark, part, str(tmp_path / "two"), str(tmp_path / "two_out"), processed_at=at, gold_at=fixed)
+    jobs.run_all(spark, messages, str(tmp_path / "one"), str(tmp_path / "one_out"), processed_at=at, gold_at=fixed)
+    one, two = (spark.read.parquet(str(tmp_path / f"{n}_out")) for n in ("one", "two"))
+    exact = ["city", "max_temperature", "min_pressure", "record_count", "weather_alert_type"]
+    assert one.select(*exact).exceptAll(two.select(*exact)).isEmpty()
+    assert spark.read.parquet(str(tmp_path / "two/bronze")).count() == spark.read.parquet(str(tmp_path / "one/bronze")).count()
+    assert one.count() == two.count()
+
+
+def test_empty_bronze_leaves_silver(spark, lake, tmp_path):
+    silver_path, empty = str(tmp_path / "silver"), str(tmp_path / "empty")
+    assert jobs.silver_job(spark, lake, silver_path).success
+    before = spark.read.parquet(silver_path).count()
+    spark.read.parquet(lake).limit(0).write.parquet(empty)
+    assert jobs.silver_job(spark, empty, silver_path) == jobs.NO_DATA
+    assert spark.read.parquet(silver_path).count() == before > 0
+
+
+def test_gold_follows_silver(spark, lake, tmp_path):
+    silver_path, gold_path = str(tmp_path / "silver"), str(tmp_path / "gold")
+    for day in ("2024-01-03", "2024-01-04"):
+        jobs.silver_for_date(spark, lake, silver_path, day)
+    jobs.gold_job(spark, silver_path, gold_path)
+    spark.read.parquet(silver_path).where("day = 3").write.partitionBy("year", "month", "day").parquet(str(tmp_path / "fewer"))
+    jobs.gold_job(spark, str(tmp_path / "fewer"), gold_path)
+    assert {r.day for r in spark.read.parquet(gold_path).select("day").distinct().collect()} == {3}
+
+
+def test_missing_table_fails_for_want_of_data(spark, tmp_path):
+    report = jobs.validate(spark, str(tmp_path / "nowhere")).first()
+    assert (report.success, report.total_records, report.error) == (False, 0, "No data")
+
+
+def test_load_keeps_keys(spark, lake, tmp_path):
+    out = sources.load(spark, lake)
+    assert {"year", "month", "day"} <= set(out.columns)
+    assert "PartitionFilters: [isnotnull(day" in explain(out.where("day = 3"))
+    spark.range(3).write.parquet(str(tmp_path / "t/any/name"))
+    assert sources.load(spark, str(tmp_path / "t")).count() == 3
+
+
+def test_until_has_no_lower_bound(spark):
+    df = spark.createDataFrame([(2019, 12, 31), (2020, 1, 1), (2021, 1, 1)], "year int, month int, day int")
+    assert sources.until(df, "20201231").count() == 2 and sources.until(df, "20201231", "20200101").count() == 1
+
+
+def test_columns_of_clashing_types_are_text(spark, tmp_path):
+    root = tmp_path / "d"
+    for kind in ("csv", "json"):
+        (root / f"k={kind}").mkdir(parents=True)
+    (root / "k=csv/a.csv").write_text("id,n\n1,2\n")
+    (root / "k=json/b.json").write_text('{"id": "x", "n": 2.5}\n')
+    got = sorted((r.id, float(r.n)) for r in sources.read_mixed_dataset(spark, str(root)).collect())
+    assert got == [("1", 2.0), ("x", 2.5)]
+
+
+def test_left_out_files_are_named(spark, tmp_path):
+    from varve.sources.listing import list_files
+
+    spark.range(5).coalesce(1).write.parquet(str(tmp_path / "d/a"))
+    (tmp_path / "d/broken.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        sources.read_local_tree(spark, str(tmp_path / "d")).count()
+    out = spark.read.schema("id long").options(recursiveFileLookup="true", pathGlobFilter="*.parquet", ignoreCorruptFiles="true").parquet(str(tmp_path / "d"))
+    files = list_files(spark, str(tmp_path / "d")).where("path like '%.parquet'")
+    assert [r.path.rsplit("/", 1)[1] for r in sources.left_out(out, files).collect()] == ["broken.parquet"]
 
 
 def test_transformer_by_name(spark, sf):

@@ -75,19 +75,12 @@ UNKNOWN_CITY = "UNKNOWN"
 
 # Topics, source names and accepted values.
 WEATHER_TOPIC = "weather-forecast"
-MARKET_TOPICS = {
-    "intraday": "market.intraday",
-    "sentiment": "market.sentiment",
-    "indicators": "market.indicators",
-    "raw_data": "market.raw",
-}
 WEATHER_SOURCE = "noaa"
 MARKET_SOURCE = "alphavantage"
 GOLD_SOURCES = ("noaa", "alphavantage", "eosdis", "openweather")
 SILVER_SOURCES = ("noaa",)
 
 # Stream and producer settings.
-OFFSETS_PER_TRIGGER = 1000
 TRIGGER_INTERVAL = "30 seconds"
 BOUNDED_RUN_SECONDS = 3300
 PRODUCER_OPTIONS = {
@@ -99,10 +92,7 @@ PRODUCER_OPTIONS = {
 # Paging and reading bounds.
 MAX_PAGE_ROWS = 10_000
 MAX_PAGE_SKIP = 100_000
-CSV_ROWS = 50_000
-CSV_ROWS_PER_PARTITION_FILE = 10_000
 SAMPLE_ROWS = 10_000
-FIRST_DATE = "2020-01-01"
 
 # Allow-lists for names, and their longest length.
 SAFE_NAMES = {
@@ -136,12 +126,12 @@ MARKET_OPEN = "09:30:00"
 MARKET_CLOSE = "16:00:00"
 
 # Suite bounds and pass rates.
-ROW_COUNT_BOUNDS = (1, 10_000_000)
+LEAST_ROWS = 1
 YEAR_BOUNDS = (2020, 2030)
 MONTH_BOUNDS = (1, 12)
 DAY_BOUNDS = (1, 31)
 AVG_TEMPERATURE_BOUNDS = (-100, 100)
-RECORD_COUNT_BOUNDS = (1, 1_000_000)
+LEAST_RECORDS = 1
 FRESHNESS_HOUR_BOUNDS = (0, 168)
 MOSTLY = 0.8
 GOLD_PASS_PERCENT = 80

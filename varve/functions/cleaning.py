@@ -17,9 +17,15 @@ def _col(column: ColumnLike) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def known(column: ColumnLike) -> Column:
+    """The number, or null where it is not a number."""
+    column = _col(column)
+    return F.when(~F.isnan(column), column)
+
+
 def to_number(column: ColumnLike) -> Column:
-    """Number in a text, or null."""
-    return _col(column).try_cast("double")
+    """Number in a text, or null; a text that says not-a-number has none."""
+    return known(_col(column).try_cast("double"))
 
 
 def parse_money(column: ColumnLike) -> Column:

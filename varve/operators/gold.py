@@ -62,7 +62,7 @@ def attach_alerts(daily: DataFrame, alerts: DataFrame) -> DataFrame:
     return daily.join(alerts, list(C.DAILY_KEYS), "left")
 
 
-def weather_metrics(silver: DataFrame, processed_at: Column | None = None, ordered: bool = True, joined: bool = False) -> DataFrame:
+def weather_metrics(silver: DataFrame, processed_at: Column | None = None, ordered: bool = False, joined: bool = False) -> DataFrame:
     """The gold table. Metrics and alerts come from one aggregate.
 
     ``joined`` computes them apart and joins them, with the same rows: there a row with a null key finds no partner,

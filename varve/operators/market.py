@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import market as M
-from ..functions.cleaning import parse_money, to_number
+from ..functions.cleaning import known, parse_money, to_number
 from ..session import cut
-from .quantiles import exact_quantiles, join_small_salted
+from .quantiles import exact_quantiles, join_null_safe
 from .series import FILLED, ROWS_PER_TASK, is_long, over_series, rolling
 
 PRICES = ("open", "high", "low", "close", "volume")
@@ -20,9 +20,11 @@ LOOKBACK = max(C.SMA_LONG_ROWS, C.VOLATILITY_ROWS + 1, C.MOMENTUM_ROWS)
 
 
 def numeric_bars(bars: DataFrame) -> DataFrame:
-    """Text prices to numbers; numeric columns stay as they are."""
+    """Text prices to numbers; in columns of floating numbers not-a-number becomes null; others stay as they are."""
     kinds = dict(bars.dtypes)
-    return bars.withColumns({c: parse_money(c) for c in PRICES if kinds.get(c) == "string"} or {"close": F.col("close")})
+    read = {c: parse_money(c) for c in PRICES if kinds.get(c) == "string"}
+    read |= {c: known(c) for c in PRICES if kinds.get(c) in ("double", "float")}
+    return bars.withColumns(read) if read else bars
 
 
 def bar_features(bars: DataFrame, ts: str = "ts", rows_per_task: int = ROWS_PER_TASK, long: bool | None = None) -> DataFrame:
@@ -97,11 +99,14 @@ def combine_features(bars: DataFrame, sentiment: DataFrame | None, indicators: D
 def volatility_regime(df: DataFrame, value: str = "volatility", keys: tuple[str, ...] = ("symbol",), long: bool | None = None) -> DataFrame:
     """Add ``volatility_regime``: thirds of the values of each symbol, with exact edges.
 
-    Short symbols get their edges from one window. With long ones the input is written once to the shared folder,
-    the edges are found by counting, and joined back with the symbol's rows spread out.
+    Not-a-number counts as missing, and the column says null for it. Short symbols get their edges from one window.
+    With long ones the input is written once to the shared folder, and the edges, one row per symbol, are found by
+    counting and joined back: broadcast where they are small, else with hot symbols split at run time.
     """
     if long is None:
-        long = is_long(df, list(keys))
+        long = is_long(df)
+    if df.schema[value].dataType.typeName() in ("double", "float"):
+        df = df.withColumn(value, known(value))
     thirds = (1.0 / 3.0, 2.0 / 3.0)
     if not long:
         edges = F.percentile(F.col(value), F.array(*[F.lit(p) for p in thirds])).over(Window.partitionBy(*keys))
@@ -110,7 +115,7 @@ def volatility_regime(df: DataFrame, value: str = "volatility", keys: tuple[str,
         return marked.withColumn("volatility_regime", M.regime(value, low, high)).drop("__edges")
     kept = cut(df)
     edges = exact_quantiles(kept, list(keys), value, thirds)
-    joined = join_small_salted(kept, edges, list(keys), spread=kept.columns)
+    joined = join_null_safe(kept, edges, list(keys))
     return joined.withColumn("volatility_regime", M.regime(value, F.col("q0"), F.col("q1"))).drop("q0", "q1")
 
 
@@ -125,10 +130,10 @@ def market_features(
     """The whole feature table: bars with their features, regime, news and indicators.
 
     Regimes are taken over the bars, before news join in, so several articles at one time do not weigh a bar twice.
-    ``long`` left out, each input is checked for long series by a count.
+    ``long`` left out, each input is checked by its estimated size, which starts no job.
     """
     if long is None:
-        long = is_long(bars, ["symbol"], rows_per_task)
+        long = is_long(bars, rows_per_task)
     priced = volatility_regime(bar_features(bars, ts, rows_per_task, long), long=long)
     side = {"ts": ts, "rows_per_task": rows_per_task, "long": True if long else None}
     return combine_features(

@@ -16,26 +16,29 @@ from pyspark.sql import functions as F
 
 GRID = 1e-2
 PARTS = 1 << 20
-SALTS = 64
+TOP = 1 << 40  # cell of infinity, beyond that of any number
 
 
 def _cell(value: Column) -> Column:
     """Cell number; does not decrease with the value. Zero has its own cell between the negative and positive ones."""
     shift = 800.0
     size = F.floor((F.log(F.abs(value)) + shift) / math.log1p(GRID)) + 1
-    return F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size).cast("bigint")
+    endless = F.when(value > 0, F.lit(TOP)).otherwise(F.lit(-TOP))
+    finite = F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size)
+    return F.when(F.abs(value) == float("inf"), endless).otherwise(finite).cast("bigint")
 
 
 def _part(value: Column, low: Column, high: Column) -> Column:
     """Part of the cell from ``low`` to ``high``; does not decrease with the value."""
-    share = F.try_divide(value - low, high - low)
+    share = F.when(low < high, F.try_divide(value - low, high - low))
     return F.coalesce(F.floor(share * PARTS), F.lit(0)).cast("bigint")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """One row per group that has values: ``keys`` and ``q0, q1, …``, linearly interpolated between ranks.
 
-    Reads ``df`` three times; cut it first when it is costly.
+    Nulls and not-a-number are left out; infinities are values. Reads the keys and the value of ``df`` a few times; cut
+    it first when it is costly.
     """
     spots = [(F.col("__total") - 1) * F.lit(float(p)) for p in probs]
     ranks = [r for s in spots for r in (F.floor(s), F.ceil(s))]
@@ -51,8 +54,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         return F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
 
     def keep_hit(rows: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
-        """Rows whose cell is wanted, with the columns of the cell; a crowded cell is spread by value."""
-        return join_small_salted(rows, wanted, by, spread=["__v"]).where(F.col("__total").isNotNull())
+        """Rows whose cell is wanted, with the columns of the cell."""
+        return join_null_safe(rows, wanted, by, "inner")
 
     v = F.col(value).cast("double")
     values = df.select(*keys, v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
@@ -84,21 +87,18 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     out = []
     for i, s in enumerate(spots):
         low, high = F.col(f"__at{2 * i}"), F.col(f"__at{2 * i + 1}")
-        part = s - F.floor(s)
-        out.append(F.when(low == high, low).otherwise(low + part * (high - low)).alias(f"q{i}"))
+        between = (F.ceil(s) - s) * low + (s - F.floor(s)) * high
+        out.append(F.when(low == high, low).otherwise(between).alias(f"q{i}"))
     return found.select(*keys, *out)
 
 
-def join_small_salted(df: DataFrame, small: DataFrame, keys: Sequence[str], spread: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """Left join of ``small`` (one row per key) onto ``df`` with the rows of each key spread over ``salts`` tasks.
+def join_null_safe(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``small``, one row per key, onto ``df``; null keys are equal to each other.
 
-    ``spread`` are columns of ``df`` whose hash picks the task, so a retried task gives the same rows.
+    Whether ``small`` is broadcast is left to its size; beyond that, adaptive execution splits hot keys.
     """
-    left = df.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    right = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    names = [*keys, "__salt"]
-    right = right.withColumnsRenamed({k: f"__r_{k}" for k in names})
+    right = small.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     condition = F.lit(True)
-    for k in names:
-        condition = condition & left[k].eqNullSafe(right[f"__r_{k}"])
-    return left.join(right, condition, "left").drop("__salt", *[f"__r_{k}" for k in names])
+    for k in keys:
+        condition = condition & df[k].eqNullSafe(right[f"__r_{k}"])
+    return df.join(right, condition, how).drop(*[f"__r_{k}" for k in keys])

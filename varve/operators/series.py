@@ -22,13 +22,16 @@ POSITION = "__position"
 _GROUP, _CHUNK, _HALO = "__group", "__chunk", "__halo"
 
 
-def longest_series(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the longest series. Counted before the shuffle; one number reaches the driver."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+BYTES_PER_ROW = 64
 
 
-def is_long(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> bool:
-    return longest_series(df, keys) > rows_per_task
+def is_long(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> bool:
+    """Whether a series may have more rows than a task should hold, by the optimizer's estimate of the whole input.
+
+    An estimate that is too large only costs time: both forms give the same rows. No job is started.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) > rows_per_task * BYTES_PER_ROW
 
 
 def _ladder(df: DataFrame, order: Sequence[str]) -> list[Column]:
@@ -144,13 +147,13 @@ def over_series(
 ) -> DataFrame:
     """Run ``build(df, w)``, whose windows over ``w`` reach at most ``lookback`` rows back and ``lookahead`` on.
 
-    ``long`` says whether some series exceeds ``rows_per_task``; left out, it is counted. ``fill`` columns are at
+    ``long`` says whether some series exceeds ``rows_per_task``; left out, the input's estimated size decides. ``fill`` columns are at
     hand inside ``build`` as ``__filled_<column>`` and are dropped afterwards.
     """
     if rows_per_task < max(lookback, lookahead, 1):
         raise ValueError("rows_per_task must cover the look-back and look-ahead")
     if long is None:
-        long = is_long(df, keys, rows_per_task)
+        long = is_long(df, rows_per_task)
     helpers = [FILLED + c for c in fill]
 
     if not long:

@@ -107,7 +107,7 @@ def validated() -> Column:
     return F.coalesce(keep, F.lit(False))
 
 
-def silver_strict(df: DataFrame, ordered: bool = True) -> DataFrame:
+def silver_strict(df: DataFrame, ordered: bool = False) -> DataFrame:
     """Bronze rows to the strict silver table: scored by completeness, valid rows only, newest first."""
     scored = df.withColumns({"quality_score": K.completeness_score(), "is_valid": K.completeness_flag()})
     cleaned = clean(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,7 +15,7 @@ from .. import constants as C
 from ..operators import gold as G
 from ..operators import quality as Q
 from ..operators import silver as S
-from ..sinks.files import check_apart, export_parquet, publish_if_valid, write_partitioned
+from ..sinks.files import check_apart, publish_if_valid, write_partitioned
 from ..sources.files import is_missing, read_table
 
 
@@ -65,11 +66,33 @@ def _read_or_none(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
         return None
 
 
+class LayerFailed(RuntimeError):
+    """A layer gave no usable table; later layers did not run."""
+
+
+MESSAGE_KEYS = ("data_source", "kafka_partition", "kafka_offset", "kafka_timestamp")
+
+
+def append_bronze(rows: DataFrame, path: str, keys: Sequence[str] = MESSAGE_KEYS) -> None:
+    """Add rows to the bronze table, except those of messages that it has already, so that a repeated run adds nothing.
+
+    Of the table only files that reach into the range of the new offsets are read. Rows without an offset cannot be
+    told apart and are always added.
+    """
+    spark = rows.sparkSession
+    old = _read_or_none(spark, path, "parquet")
+    if old is not None:
+        low, high = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
+        old = old.where(F.col("kafka_offset").between(low, high)) if low is not None else old.where("false")
+        rows = rows.join(old.select(*keys).distinct(), list(keys), "left_anti").select(*rows.columns)
+    write_partitioned(rows, path, replace="nothing")
+
+
 def silver_job(spark: SparkSession, bronze_path: str, silver_path: str, fmt: str = "parquet") -> ProcessingResult:
     """The whole bronze table to the silver table. A missing or empty table is a failure, and writes nothing."""
     check_apart(bronze_path, silver_path)
     rows = _read_or_none(spark, bronze_path, fmt)
-    if rows is None:
+    if rows is None or rows.isEmpty():  # a row of bronze gives one of silver, so there is something to replace it with
         return NO_DATA
     return _write_observed(S.silver(rows), silver_path, fmt, "table")
 
@@ -97,19 +120,19 @@ def silver_result(rows: DataFrame) -> DataFrame:
 
 
 def gold_job(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet", processed_at: Column | None = None) -> None:
-    """The silver table to the gold table, exported by date."""
+    """The silver table to the gold table, by date. Dates that silver has no longer leave gold; without silver rows
+    nothing is written."""
     check_apart(silver_path, gold_path)
-    rows = G.weather_metrics(read_table(spark, silver_path, fmt), processed_at, ordered=False)
-    export_parquet(rows, gold_path)
+    silver = read_table(spark, silver_path, fmt)
+    if silver.isEmpty():
+        raise LayerFailed("gold: silver has no data")
+    write_partitioned(G.weather_metrics(silver, processed_at, ordered=False), gold_path, compression="snappy")
 
 
 def validate(spark: SparkSession, path: str, suite: Q.Suite = Q.GOLD_SUITE, pass_percent: float = C.GOLD_PASS_PERCENT) -> DataFrame:
-    """One-row report on a table."""
-    return Q.summarize(Q.run_suite(spark.read.parquet(path), suite), pass_percent)
-
-
-class LayerFailed(RuntimeError):
-    """A layer gave no usable table; later layers did not run."""
+    """One-row report on a table; a table that is not there fails for want of data."""
+    rows = _read_or_none(spark, path, "parquet")
+    return Q.no_data(spark) if rows is None else Q.summarize(Q.run_suite(rows, suite), pass_percent)
 
 
 def run_all(
@@ -121,10 +144,13 @@ def run_all(
     processed_at: Column | None = None,
     gold_at: Column | None = None,
 ) -> DataFrame:
-    """Bronze, silver, gold, checks and publication, each from the table the one before wrote; stops at a failure."""
+    """Bronze, silver, gold, checks and publication, each from the table the one before wrote; stops at a failure.
+
+    New messages are added to bronze, and the later layers follow the whole of it, so that runs add up.
+    """
     bronze_path, silver_path, gold_path = (f"{lake.rstrip('/')}/{layer}" for layer in ("bronze", "silver", "gold"))
     check_apart(lake, published)
-    write_partitioned(S.bronze(messages, source, processed_at=processed_at), bronze_path)
+    append_bronze(S.bronze(messages, source, processed_at=processed_at), bronze_path)
     if not silver_job(spark, bronze_path, silver_path).success:
         raise LayerFailed("silver: no data")
     gold_job(spark, silver_path, gold_path, processed_at=gold_at)

@@ -31,12 +31,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def session_with(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session like ``spark`` with settings of its own, so that other users of ``spark`` are not disturbed."""
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``, or a new one on a single machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster is a cluster
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     folder = tempfile.mkdtemp(prefix="varve-")
     spark.sparkContext.setCheckpointDir(folder)

@@ -9,6 +9,7 @@ from urllib.parse import urlsplit
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from .. import constants as C
+from ..session import session_with
 
 ROWS_PER_FILE = 10_000_000
 
@@ -35,20 +36,21 @@ def write_partitioned(
     compression: str | None = None,
     observed: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
-    """Overwrite a table laid out by ``cols``; ``replace='partitions'`` replaces only the partitions that occur in ``df``.
+    """Overwrite a table laid out by ``cols``; ``replace='partitions'`` replaces only the partitions that occur in ``df``,
+    and ``replace='nothing'`` adds to the table.
 
     Rows are rebalanced by partition before the write: small partitions share a task, a large one is split over
     several, so neither many small files nor one huge task come out. ``observed`` takes metrics of the rows on their
     way; it sits in the writing stage, whose tasks count once even when they are retried.
     """
-    if replace not in ("table", "partitions"):
-        raise ValueError(f"replace must be 'table' or 'partitions': {replace}")
+    if replace not in ("table", "partitions", "nothing"):
+        raise ValueError(f"replace must be 'table', 'partitions' or 'nothing': {replace}")
     rows = df.hint("rebalance", *cols)
     if observed:
         rows = rows.observe(observed[0], *observed[1])
     writer = (
         rows.write.format(fmt)
-        .mode("overwrite")
+        .mode("append" if replace == "nothing" else "overwrite")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     )
@@ -74,22 +76,15 @@ def compact(spark: SparkSession, source: str, destination: str, cols: Sequence[s
         spark.sql(f"OPTIMIZE delta.`{source}`")
         return source
     check_apart(source, destination)
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, str(target_bytes))
-    try:
-        write_partitioned(spark.read.format(fmt).load(source), destination, cols, fmt)
-    finally:
-        if before is None:
-            spark.conf.unset(setting)
-        else:
-            spark.conf.set(setting, before)
+    own = session_with(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)})
+    write_partitioned(own.read.format(fmt).load(source), destination, cols, fmt)
     return destination
 
 
 def repoint(spark: SparkSession, table: str, path: str) -> None:
     """Make a catalog table read from ``path``."""
-    spark.sql("ALTER TABLE IDENTIFIER(:t) SET LOCATION '" + path.replace("'", "") + "'", args={"t": table})
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE IDENTIFIER(:t) SET LOCATION '{place}'", args={"t": table})
     spark.catalog.refreshTable(table)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,7 @@ from ..functions.names import check_name
 from ..operators.series import POSITION, with_position
 from ..operators.silver import for_date
 from ..operators.tables import union_all
+from ..session import session_with
 
 read_for_date = for_date
 
@@ -40,29 +41,49 @@ def read_parquet_glob(spark: SparkSession, root: str, hive_layout: bool = True)
     return reader.parquet(root) if hive_layout else read_local_tree(spark, root)
 
 
-def read_local_tree(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet file, or all Parquet files at any depth below a directory, whatever the directories are called.
+def has_keys(spark: SparkSession, path: str) -> bool:
+    """Whether a directory is laid out by ``key=value`` directories. Lists the directory itself only."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(place) and any(s.isDirectory() and "=" in s.getPath().getName() for s in files.listStatus(place))
 
-    Columns are united over the files; a file that cannot be read is skipped.
+
+def read_local_tree(spark: SparkSession, path: str, unite: bool = False, skip_corrupt: bool = False) -> DataFrame:
+    """A Parquet file, or all Parquet files at any depth below a directory.
+
+    The keys of a ``key=value`` layout are columns and prune; any other directories may have any names. ``unite``
+    unites the columns of all files, for which it reads every footer. ``skip_corrupt`` passes over files that cannot be
+    read, see :func:`left_out`; else they are an error.
     """
-    if path.endswith(".parquet"):
-        return spark.read.parquet(path)
-    options = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet", "mergeSchema": "true", "ignoreCorruptFiles": "true"}
-    return spark.read.options(**options).parquet(path)
-
-
-def until(df: DataFrame, end_date: str) -> DataFrame:
-    """Rows from the first date on, up to and including ``end_date`` (YYYYMMDD); prunes partitions."""
-    if len(end_date) != 8 or not end_date.isdigit():
-        raise ValueError(f"not a date (YYYYMMDD): {end_date!r}")
-    end = dt.datetime.strptime(end_date, "%Y%m%d").date()
-    first = dt.date.fromisoformat(C.FIRST_DATE)
+    reader = spark.read.options(mergeSchema=str(unite).lower(), ignoreCorruptFiles=str(skip_corrupt).lower())
+    if path.endswith(".parquet") or has_keys(spark, path):
+        return reader.parquet(path)
+    return reader.options(recursiveFileLookup="true", pathGlobFilter="*.parquet").parquet(path)
+
+
+def left_out(df: DataFrame, files: DataFrame) -> DataFrame:
+    """Those of the listed ``files(path, ...)`` that gave ``df`` no row: empty ones, and those that were passed over."""
+    read = df.select(F.col("_metadata.file_path").alias("path")).distinct()
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    return files.join(read.select(plain.alias("__path")), plain == F.col("__path"), "left_anti")
+
+
+def until(df: DataFrame, end_date: str, first_date: str | None = None) -> DataFrame:
+    """Rows up to and including ``end_date`` (YYYYMMDD), from ``first_date`` on if given; prunes partitions."""
+
+    def day_of(text: str) -> dt.date:
+        if len(text) != 8 or not text.isdigit():
+            raise ValueError(f"not a date (YYYYMMDD): {text!r}")
+        return dt.datetime.strptime(text, "%Y%m%d").date()
+
     day = F.make_date(*[F.col(c).cast("int") for c in C.DATE_PARTS])
-    return df.where(day.between(F.lit(first), F.lit(end)))
+    rows = df.where(day <= F.lit(day_of(end_date)))
+    return rows.where(day >= F.lit(day_of(first_date))) if first_date else rows
 
 
-def read_until(spark: SparkSession, path: str, end_date: str) -> DataFrame:
-    return until(spark.read.parquet(path), end_date)
+def read_until(spark: SparkSession, path: str, end_date: str, first_date: str | None = None) -> DataFrame:
+    return until(spark.read.parquet(path), end_date, first_date)
 
 
 def _first_rows_per_file(df: DataFrame, rows: int) -> DataFrame:
@@ -76,10 +97,10 @@ def _first_rows_per_file(df: DataFrame, rows: int) -> DataFrame:
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
-    max_rows: int | None = C.CSV_ROWS,
+    max_rows: int | None = None,
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """CSV with a header. ``max_rows`` is the reader's row cap per file; ``None`` reads all.
+    """CSV with a header, all rows; ``max_rows`` keeps the first rows of each file only.
 
     Give a schema for large files: inferring one reads them twice.
     """
@@ -93,47 +114,54 @@ def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     return (reader.schema(schema) if schema else reader).json(path)
 
 
-def read_mixed_dataset(spark: SparkSession, root: str, csv_rows: int | None = C.CSV_ROWS_PER_PARTITION_FILE) -> DataFrame:
+def _alike(frames: Sequence[DataFrame]) -> list[DataFrame]:
+    """Frames in which a column of clashing types is text; numbers of several types are left to widen."""
+    kinds: dict[str, set[T.DataType]] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType)
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    clash = {c for c, k in kinds.items() if len(k) > 1 and not all(isinstance(t, T.NumericType) for t in k)}
+
+    def text(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        return (F.to_json(c) if isinstance(f.dataType, nested) else c.cast("string")).alias(f.name)
+
+    return [df.select(*(text(f) if f.name in clash else F.col(f"`{f.name}`") for f in df.schema.fields)) for df in frames]
+
+
+def read_mixed_dataset(spark: SparkSession, root: str, csv_rows: int | None = None, skip_corrupt: bool = False) -> DataFrame:
     """All CSV, JSON and Parquet files below ``root`` as one frame; ``key=value`` directories become text columns.
 
-    Files that cannot be read are skipped. CSV files keep their first ``csv_rows`` rows each (``None``: all).
+    A column that the kinds of files type differently is text. ``csv_rows`` keeps the first rows of each CSV file only.
+    ``skip_corrupt`` passes over files that cannot be read, see :func:`left_out`; else they are an error.
     """
-    # Partition values are typed by this setting when a plan is analysed, so it is put back right after.
-    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(setting, "true")
-    spark.conf.set(setting, "false")
+    own = session_with(spark, **{"spark.sql.sources.partitionColumnTypeInference.enabled": "false"})
     frames = []
-    try:
-        for kind in C.DATA_EXTENSIONS:
-            reader = (
-                spark.read.option("pathGlobFilter", f"*.{kind}")
-                .option("ignoreCorruptFiles", "true")
-                .option("ignoreMissingFiles", "true")
-            )
-            if kind == "parquet":
-                reader = reader.option("mergeSchema", "true")
-            try:
-                if kind == "csv":
-                    df = reader.option("header", "true").option("inferSchema", "true").csv(root)
-                    df = df if csv_rows is None else _first_rows_per_file(df, csv_rows)
-                else:
-                    df = reader.format(kind).load(root)
-            except AnalysisException as error:
-                if not is_missing(error):
-                    raise
-                continue  # no readable file of this kind
-            if df.columns:
-                frames.append(df)
-    finally:
-        spark.conf.set(setting, before)
+    for kind in C.DATA_EXTENSIONS:
+        reader = own.read.option("pathGlobFilter", f"*.{kind}").option("ignoreCorruptFiles", str(skip_corrupt).lower())
+        if kind == "parquet":
+            reader = reader.option("mergeSchema", "true")
+        try:
+            if kind == "csv":
+                df = reader.option("header", "true").option("inferSchema", "true").csv(root)
+                df = df if csv_rows is None else _first_rows_per_file(df, csv_rows)
+            else:
+                df = reader.format(kind).load(root)
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
+            continue  # no file of this kind
+        if df.columns:
+            frames.append(df)
     if not frames:
         raise FileNotFoundError(f"no readable data below {root}")
-    return union_all(frames)
+    return union_all(_alike(frames))
 
 
 def load(spark: SparkSession, uri: str, end_date: str | None = None, **jdbc: str) -> DataFrame:
     """Read by address: ``table://db/name`` or ``athena://db/name`` from the catalog, ``jdbc:…`` or
-    ``duckdb://file/table`` through JDBC, and anything else as Parquet files."""
+    ``duckdb://file/table`` through JDBC, and anything else as Parquet files, keys of their layout included."""
     scheme = urlsplit(uri).scheme
     if scheme in ("table", "athena"):
         parts = uri.split("://", 1)[1].strip("/").split("/")

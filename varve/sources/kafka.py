@@ -14,9 +14,10 @@ def stream_options(
     topic: str,
     servers: str = "localhost:9092",
     starting: str = "earliest",
-    max_offsets: int | None = C.OFFSETS_PER_TRIGGER,
+    max_offsets: int | None = None,
     fail_on_data_loss: bool = False,
 ) -> dict[str, str]:
+    """Reader options; ``max_offsets`` caps what one micro-batch takes, and nothing does by default."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

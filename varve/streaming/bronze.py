@@ -45,8 +45,9 @@ def bronze_stream(
     return write_bronze_stream(rows, path, checkpoint, trigger, f"bronze_{source}_streaming_query", fmt)
 
 
-def ingest_topic(spark: SparkSession, topic: str, path: str, checkpoint: str, servers: str = "localhost:9092", fmt: str = "delta", source: str = C.WEATHER_SOURCE) -> StreamingQuery:
-    return bronze_stream(read_kafka_stream(spark, topic, servers), path, checkpoint, source, fmt=fmt)
+def ingest_topic(spark: SparkSession, topic: str, path: str, checkpoint: str, servers: str = "localhost:9092", fmt: str = "delta", source: str = C.WEATHER_SOURCE, **options) -> StreamingQuery:
+    """``options`` go to the reader, see :func:`varve.sources.kafka.stream_options`."""
+    return bronze_stream(read_kafka_stream(spark, topic, servers, **options), path, checkpoint, source, fmt=fmt)
 
 
 def run_bounded(query: StreamingQuery, seconds: float = C.BOUNDED_RUN_SECONDS) -> bool:
