@@ -71,6 +71,7 @@ STRICT_COLUMNS = ", ".join(silver.schemas.SILVER_STRICT.names)
 BRONZE_COLUMNS = ", ".join(silver.schemas.BRONZE.names)
 
 
+@I.staged("silver")
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
     return silver.silver(I.readings(spark, sf))
 
