@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import cut, delete
+from .store import cut
 
 
 def _settled(edges: DataFrame) -> bool:
@@ -16,17 +16,17 @@ def _settled(edges: DataFrame) -> bool:
     return odd.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, n: int) -> DataFrame:
     """Each larger neighbour of ``u`` is linked to the smallest neighbour of ``u`` (``u`` included)."""
-    both = cut(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
-    least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-    out = both.join(cut(least, "least"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = cut(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), "least", 2 * n)
+    out = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return out.where("u <> v").distinct()
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, n: int) -> DataFrame:
     """``u`` and its smaller neighbours are linked to the smallest of them."""
-    least = cut(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
+    least = cut(edges.groupBy("u").agg(F.min("v").alias("m")), "least", n)
     out = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return out.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
@@ -40,11 +40,10 @@ def components(edges: DataFrame) -> DataFrame:
     """
     plain = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = cut(plain, "edges")
+    n = now.count()
     while not _settled(now):
-        large = cut(_large(now), "large")
-        after = cut(_small(large), "small")
-        delete(large)
-        delete(now)
+        large = cut(_large(now, n), "large", 2 * n)
+        after = cut(_small(large, 2 * n), "small", 2 * n)
         now = after
     leaves = now.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     return leaves.union(now.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())

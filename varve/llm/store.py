@@ -26,13 +26,20 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/varve-llm/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+ROWS_A_TASK = 250_000
+
+
+def cut(df: DataFrame, name: str = "cut", rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it again.
 
     Lineage ends here: a lost executor costs no earlier step, and later readers take only the columns that they need.
+    ``rows`` is an upper bound of the number of narrow rows, where one is known: the last stage then has a task for
+    every ``ROWS_A_TASK`` of them at most, and so do the stages that read the table. The number follows the data.
     """
     spark = df.sparkSession
     path = folder(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_A_TASK)))
     df.write.parquet(path)
     return spark.read.schema(as_nullable(df.schema)).parquet(path)
 
