@@ -11,7 +11,11 @@ from __future__ import annotations
 
 import json
 import re
+import string
+import sys
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +26,10 @@ from tokenizers import Tokenizer
 from .store import reachable
 
 LEAF = 2048
-KEPT_WORDS = 300_000  # distinct words that a worker remembers; a full memory starts anew
+KEPT_WORDS = 300_000  # distinct words that a worker remembers
+MARKS = "".join(c for c in string.punctuation if c != "'")
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
+ROWS, CHARS = 256, 1 << 20  # rows of a slice, and characters that are split into words at a time
 _LOADED: dict[tuple[str, int], "Bpe"] = {}
 
 
@@ -37,10 +44,7 @@ class Bpe:
         self.whole.no_truncation()
         self.whole.no_padding()
         spec = json.loads(text)
-        bare = spec | {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
-        self.last = Tokenizer.from_str(json.dumps(bare))  # for what ends a pre-token
-        inner = bare | {"model": spec["model"] | {"end_of_word_suffix": None}}
-        self.inner = Tokenizer.from_str(json.dumps(inner))  # for what does not
+        self.spec = spec
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
         added = [x["content"] for x in spec["added_tokens"]]
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -48,24 +52,69 @@ class Bpe:
         size = self.whole.get_vocab_size()
         self.names = [self.whole.id_to_token(i) for i in range(size)]
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    @cached_property
+    def last(self) -> Tokenizer:
+        """For what ends a pre-token."""
+        return self._bare(self.spec["model"])
+
+    @cached_property
+    def inner(self) -> Tokenizer:
+        """For what does not."""
+        return self._bare(self.spec["model"] | {"end_of_word_suffix": None})
+
+    def _bare(self, model: dict) -> Tokenizer:
+        parts = {"normalizer": None, "pre_tokenizer": None, "post_processor": None, "added_tokens": []}
+        return Tokenizer.from_str(json.dumps(self.spec | parts | {"model": model}))
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.words
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        new = {w for w in words if w not in known}
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = set(words)
-        short = [w for w in new if len(w) <= self.leaf]
-        for w, e in zip(short, self.whole.encode_batch(short, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        long = {w: self.encode_unsplit(w) for w in new if len(w) > self.leaf}
-        return b"".join(long[w] if w in long else known[w] for w in words)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Words that are new in any of them are encoded together."""
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        ids, rest = self._known(set().union(*split))
+        parts = {w: self._parts(w) for w in rest}
+        units, new = self._known({p for ps in parts.values() for p in ps})
+        short = [p for p in new if len(p) <= self.leaf]
+        for p, e in zip(short, self.whole.encode_batch(short, add_special_tokens=False), strict=True):
+            units[p] = self.words[p] = array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, dtype="<u4").tobytes()
+        for p in new:
+            if len(p) > self.leaf:
+                units[p] = self.encode_unsplit(p)
+        for word, ps in parts.items():
+            ids[word] = units[ps[0]] if len(ps) == 1 else units[ps[0]] + units[ps[1]]
+            if len(word) <= self.leaf:
+                self.words[word] = ids[word]
+        if len(self.words) > KEPT_WORDS // 2:
+            self.words, self.older = {}, self.words
+        return [b"".join(map(ids.__getitem__, words)) for words in split]
+
+    def _known(self, words: set[str]) -> tuple[dict[str, bytes], list[str]]:
+        """The ids of the words in memory, which has two halves (the older is dropped when both fill), and the others."""
+        now, older = self.words, self.older
+        found = {w: now[w] for w in words if w in now}
+        rest = [w for w in words if w not in now]
+        again = {w: older[w] for w in rest if w in older}
+        if again:
+            now.update(again)
+            found.update(again)
+            rest = [w for w in rest if w not in again]
+        return found, rest
+
+    @staticmethod
+    def _parts(word: str) -> tuple[str, ...]:
+        """A word, in lower case where that is the library's own, and the marks that end it apart.
+
+        Between a letter and a mark the pre-tokenizer cuts in any case; ``'`` may begin a contraction and stays.
+        """
+        if "<|" in word or "\u03a3" in word or "\u0130" in word:
+            return (word,)  # special tokens, and letters whose lower case depends on others
+        word = word.lower()
+        stem = word.rstrip(MARKS)
+        return (stem, word[len(stem) :]) if len(stem) < len(word) and stem[-1:].isalpha() else (word,)
 
     def encode_unsplit(self, text: str) -> bytes:
         """The ids of text without blanks, of any length."""
@@ -123,45 +172,77 @@ def load(path: str, leaf: int = LEAF) -> Bpe:
     return _LOADED[path, leaf]
 
 
-def _apply(column: str, target: str, kind: pa.DataType, one, path: str | None, leaf: int):
+def _apply(column: str, target: str, kind: pa.DataType, many, path: str | None, leaf: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = load(path, leaf) if path else None
-        for batch in batches:
-            at = batch.schema.get_field_index(column)
-            values = pa.array([one(tool, v.as_py()) for v in batch.column(at)], kind)
-            stay = [i for i, n in enumerate(batch.schema.names) if n not in (column, target)]
-            names, rest = [batch.schema.names[i] for i in stay], [batch.column(i) for i in stay]
-            yield pa.RecordBatch.from_arrays([*rest, values], names=[*names, target])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                at = batch.schema.get_field_index(column)
+                values = pa.array(many(tool, batch.column(at).to_pylist()), kind)
+                stay = [i for i, n in enumerate(batch.schema.names) if n not in (column, target)]
+                names, rest = [batch.schema.names[i] for i in stay], [batch.column(i) for i in stay]
+                yield pa.RecordBatch.from_arrays([*rest, values], names=[*names, target])
 
     return run
 
 
+def _encoded(tool: Bpe, texts: list[str | None]) -> list[bytes]:
+    out: list[bytes] = []
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        held.append(text or "")
+        size += len(held[-1])
+        if size >= CHARS:
+            out += tool.encode_all(held)
+            held, size = [], 0
+    return out + tool.encode_all(held)
+
+
 def encode(docs: DataFrame, path: str, text_column: str = "text", ids_column: str = "ids", leaf: int = LEAF) -> DataFrame:
     """``docs`` with the text column replaced by the ids of the text as packed little-endian 32-bit integers.
 
     Special tokens in a text are encoded as such, none are added. Null and empty texts have no ids. All other columns
     stay as they are; one that already has the name of ``ids_column`` is replaced.
     """
-    return _run(docs, text_column, ids_column, "binary", pa.binary(), lambda t, v: t.encode(v or ""), path, leaf)
+    return _run(docs, text_column, ids_column, "binary", pa.binary(), _encoded, path, leaf)
 
 
 def decode(tokens: DataFrame, path: str, ids_column: str = "ids", text_column: str = "decoded", leaf: int = LEAF) -> DataFrame:
     """``tokens`` with packed ids replaced by their text, special tokens included; null ids give an empty text."""
-    return _run(tokens, ids_column, text_column, "string", pa.string(), lambda t, v: t.decode(np.frombuffer(v or b"", dtype="<u4")), path, leaf)
+    return _run(tokens, ids_column, text_column, "string", pa.string(), lambda t, vs: [t.decode(np.frombuffer(v or b"", dtype="<u4")) for v in vs], path, leaf)
 
 
-def _run(df: DataFrame, column: str, target: str, sql: str, kind: pa.DataType, one, path: str | None, leaf: int) -> DataFrame:
+def _run(df: DataFrame, column: str, target: str, sql: str, kind: pa.DataType, many, path: str | None, leaf: int) -> DataFrame:
     reachable(df.sparkSession)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in (column, target)), f"`{target}` {sql}"])
-    return df.mapInArrow(_apply(column, target, kind, one, path, leaf), schema)
+    return df.mapInArrow(_apply(column, target, kind, many, path, leaf), schema)
 
 
 def unpacked(tokens: DataFrame, ids_column: str = "ids") -> DataFrame:
     """``tokens`` with packed ids as arrays of integers."""
-    return _run(tokens, ids_column, ids_column, "array<int>", pa.list_(pa.int32()), lambda t, v: np.frombuffer(v or b"", dtype="<i4"), None, LEAF)
+    return _run(tokens, ids_column, ids_column, "array<int>", pa.list_(pa.int32()), lambda t, vs: [np.frombuffer(v or b"", dtype="<i4") for v in vs], None, LEAF)
 
 
-def round_trip(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
-    """The other columns of ``docs`` with ``ids`` (packed) and ``decoded``; columns of these names are replaced."""
-    coded = encode(docs.drop("_packed"), path, text_column)
-    return decode(coded.withColumn("_packed", F.col("ids")), path).withColumnRenamed("_packed", "ids")
+def round_trip(docs: DataFrame, path: str, text_column: str = "text", leaf: int = LEAF) -> DataFrame:
+    """The other columns of ``docs`` with ``ids`` (packed) and ``decoded``; columns of these names are replaced.
+
+    The same as ``encode`` and then ``decode`` of its ids, in one pass, so that a task has one Python worker.
+    """
+    reachable(docs.sparkSession)
+    stay = [f for f in docs.schema.fields if f.name not in (text_column, "ids", "decoded")]
+    kept = docs.select(*(F.col(f"`{f.name}`") for f in stay), F.col(f"`{text_column}`").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = load(path, leaf)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                ids = _encoded(tool, batch.column(len(stay)).to_pylist())
+                texts = [tool.decode(np.frombuffer(x, dtype="<u4")) for x in ids]
+                arrays = [*batch.columns[: len(stay)], pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names[: len(stay)], "ids", "decoded"])
+
+    columns = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in stay), "ids binary", "decoded string"]
+    return kept.mapInArrow(run, ", ".join(columns))
