@@ -185,6 +185,18 @@ def test_secret_spans_equal_brute_force(spark, sf):
     assert secret_scan.scan(empty, secret_scan.train(empty)).count() == 0
 
 
+def test_random_parts_of_any_length_and_behind_ordinary_text(spark, sf):
+    a, b = "Zx81kQp0TfLm29Vb", "Zx81kQp0TfLm29VbNc7R"
+    word = "internal_reporting_service_of_the_other_" * 3
+    texts = {a: [a], f"{word}={b}": [b], f"/andthe/intheand/{word}/{b}/andthe": [b], f"{word}={b}/{word}={a}": [b, a], f"{'0123456789abcdef' * 2}_{b} x": [b], f"{word}andthe": []}
+    found = secret_scan.scan(docs(spark, enumerate(texts)), secret_scan.train(spark.read.parquet(f"{sf}/documents.parquet")))
+    for r in found.collect():
+        random_spans = [s for s in r.spans if s.kind == "random"]
+        assert len(random_spans) == len(texts[r.text]), r.text
+        for s, secret in zip(random_spans, texts[r.text], strict=True):
+            assert secret in s.secret and r.text[s.start : s.end] == s.secret
+
+
 def test_bpe_round_trip_equals_the_library(spark):
     whole = Tokenizer.from_file(BPE_FILE)
     rng = random.Random(1)

@@ -1,4 +1,4 @@
-"""Secret scans: fixed patterns, and long tokens that two character Markov models tell from ordinary identifiers.
+"""Secret scans: fixed patterns, and parts of tokens that two character Markov models tell from ordinary identifiers.
 
 Everything is built-in column expressions. A text is looked at row by row; only the training counts are shuffled, and
 the model that comes to the driver has one number per pair of characters of a fixed alphabet.
@@ -7,6 +7,7 @@ the model that comes to the driver has one number per pair of characters of a fi
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,9 +23,9 @@ KINDS = (("assign", ASSIGN, 2), ("access", ACCESS, 1), ("hex", HEX, 1))
 LEAST_SECRET = 8
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-TOKEN = "((?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,})"  # what the models judge
+COMMON_FIRST = "enirtasdhulcgmobpfvwkzyxqj0123456789"  # only the order in which patterns try characters
 SAMPLE = 2_000  # documents that the models are trained on, the least by hash of their text
-THRESHOLD = 12.0  # natural log of the likelihood ratio of a whole token
+THRESHOLD = 12.0  # natural log of the likelihood ratio of a token or a part of one
 MASK = "[SECRET]"
 
 
@@ -107,35 +108,121 @@ def train(docs: DataFrame, text_column: str = "text", sample: int = SAMPLE) -> M
     return Model(tuple(r - o for row_r, row_o in zip(logs[1], logs[0], strict=True) for r, o in zip(row_r, row_o, strict=True)))
 
 
-def likelihood_ratio(token: Column, model: Model) -> Column:
-    """The log-likelihood ratio of a token of the alphabet; more is more random."""
+def ratios(token: Column, model: Model) -> Column:
+    """The log-likelihood ratio of every pair of neighbours in a token of the alphabet; more is more random."""
     table, size = model.column(), len(ALPHABET)
 
-    def at(i: Column) -> Column:
-        return F.call_function("instr", F.lit(ALPHABET), F.substring(token, i, F.lit(1)))
+    def of(places: Column) -> Column:
+        n = F.size(places) - 1
+        return F.zip_with(F.slice(places, 1, n), F.slice(places, 2, n), lambda a, b: F.coalesce(F.element_at(table, (a - 1) * size + b), F.lit(0.0)))
+
+    places = F.transform(F.split(token, ""), lambda c: F.call_function("instr", F.lit(ALPHABET), c))
+    return F.transform(F.array(places), of)[0]
+
+
+def likelihood_ratio(token: Column, model: Model) -> Column:
+    """The log-likelihood ratio of a whole token."""
+    return F.aggregate(ratios(token, model), F.lit(0.0), lambda s, x: s + x)
+
+
+def candidates(model: Model, threshold: float) -> str | None:
+    """A pattern of tokens that may have a part that reaches ``threshold``; None if no token can.
+
+    Such a part has at least as many pairs in favour of random as the strongest pair goes into the threshold. Tokens
+    with fewer are passed over without being scored, and nothing that scoring would find is lost.
+    """
+    strongest, size = max(model.ratios), len(ALPHABET)
+    if strongest <= 0:
+        return None
+    any_char = f"[{ALPHABET}]"
+
+    def ordinary(c: str) -> str:
+        row = model.ratios[ALPHABET.index(c) * size :][:size]
+        favour = "".join(sorted((x for x, r in zip(ALPHABET, row, strict=True) if r > 0), key=lambda x: (x == "-", x)))
+        return f"{re.escape(c)}(?![{favour}])" if favour else re.escape(c)
+
+    order = COMMON_FIRST + "".join(c for c in ALPHABET if c not in COMMON_FIRST)
+    step = "|".join(map(ordinary, order))
+    return f"((?<!{any_char})(?:(?:{step})*+{any_char}){{{math.ceil(threshold / strongest)}}}+{any_char}*+)"
+
+
+def random_parts(token: Column, model: Model, threshold: float) -> Column:
+    """``array<struct<start, end>>``, in characters of the token: what of it is random.
+
+    That is all of a token whose ratio reaches ``threshold``. Of any other token it is every part that does, widened
+    to the ``=``, ``/``, ``_`` or ``-`` around it. A part begins where its sum is highest from there, and ends where the
+    sum falls by ``threshold`` from its peak, so ordinary text before, between or after secrets takes nothing from them.
+    """
+    none = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    begin = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("peak"), F.lit(0).alias("i"), F.lit(0).alias("start"), F.lit(0).alias("end"), none.alias("out"))
+
+    def closed(s: Column) -> Column:
+        part = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        return F.when(s["peak"] >= threshold, F.concat(s["out"], part)).otherwise(s["out"])
+
+    def step(s: Column, x: Column) -> Column:
+        now, i = s["sum"] + x, s["i"] + 1
+        fell = now <= F.greatest(F.lit(0.0), s["peak"] - threshold)
+        return F.struct(
+            F.when(fell, 0.0).otherwise(now).alias("sum"),
+            F.when(fell, 0.0).otherwise(F.greatest(s["peak"], now)).alias("peak"),
+            i.alias("i"),
+            F.when(fell, i).otherwise(s["start"]).alias("start"),
+            F.when(now > s["peak"], i + 1).otherwise(s["end"]).alias("end"),
+            F.when(fell, closed(s)).otherwise(s["out"]).alias("out"),
+        )
+
+    def widened(p: Column) -> Column:
+        before = F.regexp_extract(F.substring(token, F.lit(1), p["start"]), "[^=/_-]*$", 0)
+        after = F.regexp_extract(F.substring(token, p["end"] + 1, F.length(token)), "^[^=/_-]*", 0)
+        return F.struct((p["start"] - F.length(before)).alias("start"), (p["end"] + F.length(after)).alias("end"))
 
-    steps = F.sequence(F.lit(1), F.length(token) - 1)
-    return F.aggregate(steps, F.lit(0.0), lambda s, i: s + F.coalesce(F.element_at(table, (at(i) - 1) * size + at(i + 1)), F.lit(0.0)))
+    def parts(r: Column) -> Column:
+        whole = F.array(F.struct(F.lit(0).alias("start"), F.length(token).alias("end")))
+        found = F.array_distinct(F.transform(F.aggregate(r, begin, step, closed), widened))
+        return F.when(F.aggregate(r, F.lit(0.0), lambda s, x: s + x) >= threshold, whole).otherwise(found)
+
+    return F.transform(F.array(ratios(token, model)), parts)[0]
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of every character of a span."""
+
+    def step(s: Column, x: Column) -> Column:
+        to = F.greatest(s["at"], x["end"])
+        gap = F.substring(text, s["at"] + 1, F.greatest(F.lit(0), x["start"] - s["at"]))
+        return F.struct(to.alias("at"), F.concat(s["out"], gap, F.repeat(F.lit(" "), to - F.greatest(s["at"], x["start"]))).alias("out"))
+
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    done = F.aggregate(spans, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
 def scan(docs: DataFrame, model: Model, text_column: str = "text", spans_column: str = "spans", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``spans``: ``array<struct<start, rank, end, kind, secret>>`` by start, then kind; ends exclusive.
 
-    Kinds are ``assign``, ``access`` and ``hex`` by pattern, and ``random`` for tokens of 20 characters or more whose
-    likelihood ratio reaches ``threshold`` and that overlap no span by pattern. Null and empty texts have none. Rows
+    Kinds are ``assign``, ``access`` and ``hex`` by pattern, and ``random`` for what outside of those, of any length, has
+    a likelihood ratio that reaches ``threshold``: tokens, and parts of tokens. Null and empty texts have none. Rows
     are judged each by itself, so repeated rows give repeated results. A column that already has the name of
     ``spans_column`` is replaced.
     """
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
-    pair = F.array(F.struct(base_spans(text).alias("base"), located(text, TOKEN, 1).alias("tokens")))
+    pattern = candidates(model, threshold)
+    if pattern is None:
+        return docs.withColumn(spans_column, base_spans(text))
+
+    def random(t: Column) -> Column:
+        def span(p: Column) -> Column:
+            secret = F.substring(t["secret"], p["start"] + 1, p["end"] - p["start"])
+            return F.struct((t["start"] + p["start"]).alias("start"), F.lit(len(KINDS)).alias("rank"), (t["start"] + p["end"]).alias("end"), F.lit("random").alias("kind"), secret.alias("secret"))
+
+        return F.transform(random_parts(t["secret"], model, threshold), span)
 
-    def merged(p: Column) -> Column:
-        free = F.filter(p["tokens"], lambda t: ~F.exists(p["base"], lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-        random = F.filter(free, lambda t: likelihood_ratio(t["secret"], model) >= threshold)
-        random = F.transform(random, lambda t: F.struct(t["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), t["end"].alias("end"), F.lit("random").alias("kind"), t["secret"].alias("secret")))
-        return F.sort_array(F.concat(p["base"], random))
+    def merged(base: Column) -> Column:
+        tokens = F.transform(F.array(blanked(text, base)), lambda rest: located(rest, pattern, 1))[0]
+        return F.sort_array(F.concat(base, F.flatten(F.transform(tokens, random))))
 
-    return docs.withColumn(spans_column, F.transform(pair, merged)[0])
+    return docs.withColumn(spans_column, F.transform(F.array(base_spans(text)), merged)[0])
 
 
 def listed(spans: Column) -> Column:
