@@ -143,3 +143,20 @@ def test_bounds_may_be_open(spark):
 def test_duplicates_by_hash(spark):
     df = spark.createDataFrame([(1, None, "a"), (None, 1, "a"), (1, None, "a"), (None, None, None), (None, None, None), (1, 1, "b")], "x int, y int, s string")
     assert Q.duplicate_count(df).first()[0] == 2
+
+
+@pytest.mark.parametrize(
+    ("kind", "values"),
+    [
+        ("array<int>", [[1, None], [1], [None, 1], None, []]),
+        ("struct<a:int,b:int>", [(1, None), (None, 1), None, (None, None)]),
+        ("array<array<int>>", [[[1], [2]], [[1, 2]], [[], [1, 2]], [None, [1, 2]]]),
+        ("array<string>", [["1:a", "n"], ["1:a1:n"], ["1:a", None], ["n", "1:a"]]),
+        ("array<struct<a:string,b:array<double>>>", [[("x", [0.5])], [("x", [0.5, None])], [("x0.5", [])], [None]]),
+        ("map<string,int>", [{"a": 1, "b": 2}, {"a": 1, "b": None}, {"a": 1}, {}]),
+    ],
+)
+def test_nested_rows_that_differ_are_no_duplicates(spark, kind, values):
+    rows = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+    assert [r.duplicates for r in Q.duplicate_count(rows).collect()] == [0]
+    assert [r.duplicates for r in Q.duplicate_count(rows.union(rows)).collect()] == [len(values)]

@@ -318,6 +318,25 @@ def null_counts(df: DataFrame) -> DataFrame:
     return counted.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("nulls") > 0)
 
 
+def _whole_text(value: Column, kind: T.DataType) -> Column:
+    """Text that is equal for equal nested values only: each part has its length before it, and nulls are marked."""
+    if isinstance(kind, T.ArrayType):
+        parts = F.transform(value, lambda x: _whole_text(x, kind.elementType))
+        text = F.concat(F.size(value).cast("string"), F.lit("["), F.array_join(parts, ""))
+    elif isinstance(kind, T.StructType):
+        text = F.concat(F.lit("{"), *[_whole_text(value.getField(f.name), f.dataType) for f in kind.fields])
+    elif isinstance(kind, T.MapType):
+        pairs = F.transform(F.map_entries(value), lambda e: F.concat(_whole_text(e["key"], kind.keyType), _whole_text(e["value"], kind.valueType)))
+        text = F.concat(F.size(value).cast("string"), F.lit("<"), F.array_join(F.array_sort(pairs), ""))
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(value)
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        text = F.when(value == 0, F.lit("0.0")).otherwise(value.cast("string"))  # the two zeros are equal
+    else:
+        text = value.cast("string")
+    return F.when(value.isNull(), F.lit("n")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows that repeat another row in full.
 
@@ -326,8 +345,9 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     """
     row = [F.col(f"`{c}`") for c in df.columns]
     kinds = [f.dataType.typeName() for f in df.schema.fields]
-    # Hashes pass over nulls, so which columns are null is hashed with them; maps and variants have no hash but as text.
-    plain = [c.cast("string") if k in ("map", "variant") else c for c, k in zip(row, kinds)]
+    # Hashes pass over nulls, so which columns are null is hashed with them. Inside arrays and structs they also pass over
+    # nulls and bounds, so nested columns are hashed as text that shows both; variants have no hash but as text.
+    plain = [_whole_text(c, f.dataType) if k in ("array", "struct", "map") else c.cast("string") if k == "variant" else c for c, k, f in zip(row, kinds, df.schema.fields)]
     empty = [c.isNull() for c in row]
     hashes = [F.xxhash64(F.lit(seed), *plain, *empty) for seed in (1, 2)]
     copies = df.groupBy(hashes[0].alias("__a"), hashes[1].alias("__b")).agg(F.count(F.lit(1)).alias("__copies"))
