@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import string
@@ -197,6 +198,24 @@ def test_random_parts_of_any_length_and_behind_ordinary_text(spark, sf):
             assert secret in s.secret and r.text[s.start : s.end] == s.secret
 
 
+def test_models_count_all_documents_and_stay_bounded(spark):
+    own = docs(spark, [(i, f"word{i} ordinary") for i in range(3_000)])
+    style = docs(spark, [(9_000 + i, "QxZ_jK") for i in range(400)])
+    key = "".join(f"{i:x}" for i in range(16)) * 2
+    secrets = docs(spark, [(1, f"is {key}")])
+    model = secret_scan.train(own.union(style).union(secrets))
+    size, at = len(secret_scan.ALPHABET), secret_scan.ALPHABET.index
+
+    def ratio(pair):
+        return model.ratios[at(pair[0]) * size + at(pair[1])]
+
+    uniform = 1 / size
+    assert ratio("Qx") == pytest.approx(math.log(uniform / (0.9 + 0.1 * uniform)))  # Q: 400 times, in no secret
+    assert ratio("QZ") == pytest.approx(math.log(10))  # never: bounded by the uniform share
+    assert ratio("01") == pytest.approx(math.log((0.5 + 0.5 * uniform) / (1 / 10 * 0.9 + 0.1 * uniform)), abs=0.3)
+    assert len(set(secret_scan.train(docs(spark, [])).ratios)) == 1
+
+
 def test_bpe_round_trip_equals_the_library(spark):
     whole = Tokenizer.from_file(BPE_FILE)
     rng = random.Random(1)

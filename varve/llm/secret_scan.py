@@ -24,7 +24,7 @@ LEAST_SECRET = 8
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 COMMON_FIRST = "enirtasdhulcgmobpfvwkzyxqj0123456789"  # only the order in which patterns try characters
-SAMPLE = 2_000  # documents that the models are trained on, the least by hash of their text
+UNIFORM = (0.1, 0.5)  # share of a uniform choice of the next character in the ordinary and in the random model
 THRESHOLD = 12.0  # natural log of the likelihood ratio of a token or a part of one
 MASK = "[SECRET]"
 
@@ -48,6 +48,13 @@ def located(text: Column, pattern: str, group: int) -> Column:
         begin = F.struct(F.lit(0).alias("at"), none.alias("out"))
         return F.aggregate(F.sequence(F.lit(0), F.size(parts["hits"]) - 1), begin, lambda s, i: step(parts, s, i), lambda s: s["out"])
 
+    if group == 0:  # matches are looked for once
+
+        def whole(hits: Column) -> Column:
+            parts = F.struct(hits.alias("hits"), hits.alias("secrets"), F.split(text, pattern, -1).alias("gaps"))
+            return F.when(F.size(hits) > 0, F.transform(F.array(parts), walk)[0]).otherwise(none)
+
+        return F.transform(F.array(F.regexp_extract_all(text, p, F.lit(0))), whole)[0]
     return F.when(text.rlike(pattern), F.transform(F.array(parts), walk)[0]).otherwise(none)
 
 
@@ -73,38 +80,37 @@ class Model:
         return F.split(F.lit(" ".join(f"{x:.4f}" for x in self.ratios)), " ").cast("array<double>")
 
 
-def _pairs(strings: DataFrame) -> DataFrame:
-    """Counts of neighbouring characters over the distinct strings of the column ``s``."""
-    long = strings.where(F.length("s") > 1).distinct()
-    pairs = long.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("s") - 1), lambda i: F.substring(F.col("s"), i, F.lit(2)))).alias("pair"))
-    return pairs.groupBy("pair").agg(F.count("*").alias("n"))
+def _pairs(strings: DataFrame, kind: int) -> DataFrame:
+    """Counts of neighbouring characters over all strings of the column ``s``; a repeated secret (``kind`` 1) is one."""
+    words = strings.where(F.length("s") > 1).groupBy("s").agg((F.lit(1).cast("long") if kind else F.count("*")).alias("n"))
+    pairs = words.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("s") - 1), lambda i: F.substring(F.col("s"), i, F.lit(2)))).alias("pair"))
+    return pairs.groupBy("pair").agg(F.sum("n").alias("n")).select("pair", "n", F.lit(kind).alias("kind"))
 
 
-def train(docs: DataFrame, text_column: str = "text", sample: int = SAMPLE) -> Model:
-    """Models from labelled samples that at most ``sample`` documents give.
+def train(docs: DataFrame, text_column: str = "text") -> Model:
+    """Models from counts over all documents.
 
-    Labelled random are what the fixed patterns find in them and the SHA-512 of each of their texts, in hexadecimal and
-    in base 64, so that both alphabets are known where few secrets are. Labelled ordinary are their other words. An
-    empty table gives a model that has no preference.
+    Random strings are what the fixed patterns find in them, ordinary ones all their other words. Both models are
+    mixed with a uniform choice of characters, by the fixed shares ``UNIFORM``: no pair has a ratio without bound as
+    counts grow, and an alphabet that the found secrets lack is still known as random. A character that no string of a
+    class shows is followed by any other alike. An empty table gives a model that has no preference.
     """
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
-    keys = docs.select(F.xxhash64(text).alias("k")).distinct().orderBy("k").limit(sample)
-    chosen = docs.select(text.alias("t"), F.xxhash64(text).alias("k")).join(keys, "k").dropDuplicates(["k"]).select("t")
-    digest = F.sha2("t", 512)
-    secrets = F.transform(base_spans(F.col("t")), lambda s: s["secret"])
-    random = chosen.select(F.explode(F.concat(secrets, F.array(digest, F.base64(F.unhex(digest))))).alias("s"))
+    texts = docs.select(text.alias("t"))
+    random = texts.select(F.explode(F.transform(base_spans(F.col("t")), lambda s: s["secret"])).alias("s"))
     clean = F.col("t")
     for _, pattern, _ in KINDS:
         clean = F.regexp_replace(clean, pattern, " ")
-    plain = chosen.select(F.explode(F.regexp_extract_all(clean, F.lit("([A-Za-z0-9+/_=-]+)"), F.lit(1))).alias("s"))
-    both = _pairs(random).select("pair", "n", F.lit(1).alias("kind")).union(_pairs(plain).select("pair", "n", F.lit(0).alias("kind")))
+    plain = texts.select(F.explode(F.regexp_extract_all(clean, F.lit("([A-Za-z0-9+/_=-]+)"), F.lit(1))).alias("s"))
     size = len(ALPHABET)
-    counts = [[[0.5] * size for _ in ALPHABET] for _ in range(2)]
-    for pair, n, kind in both.collect():  # at most two rows per pair of the alphabet, and of characters in secrets
+    counts = [[[0] * size for _ in ALPHABET] for _ in range(2)]
+    for pair, n, kind in _pairs(plain, 0).union(_pairs(random, 1)).collect():  # at most two rows per pair of characters of secrets and words
         a, b = ALPHABET.find(pair[0]), ALPHABET.find(pair[1])
         if a >= 0 and b >= 0:
             counts[kind][a][b] += n
-    logs = [[[math.log(x / sum(row)) for x in row] for row in table] for table in counts]
+    logs = []
+    for table, share in zip(counts, UNIFORM, strict=True):
+        logs.append([[math.log((1 - share) * n / sum(row) + share / size if any(row) else 1 / size) for n in row] for row in table])
     return Model(tuple(r - o for row_r, row_o in zip(logs[1], logs[0], strict=True) for r, o in zip(row_r, row_o, strict=True)))
 
 
@@ -143,7 +149,7 @@ def candidates(model: Model, threshold: float) -> str | None:
 
     order = COMMON_FIRST + "".join(c for c in ALPHABET if c not in COMMON_FIRST)
     step = "|".join(map(ordinary, order))
-    return f"((?<!{any_char})(?:(?:{step})*+{any_char}){{{math.ceil(threshold / strongest)}}}+{any_char}*+)"
+    return f"(?<!{any_char})(?:(?:{step})*+{any_char}){{{math.ceil(threshold / strongest)}}}+{any_char}*+"
 
 
 def random_parts(token: Column, model: Model, threshold: float) -> Column:
@@ -219,7 +225,7 @@ def scan(docs: DataFrame, model: Model, text_column: str = "text", spans_column:
         return F.transform(random_parts(t["secret"], model, threshold), span)
 
     def merged(base: Column) -> Column:
-        tokens = F.transform(F.array(blanked(text, base)), lambda rest: located(rest, pattern, 1))[0]
+        tokens = F.transform(F.array(blanked(text, base)), lambda rest: located(rest, pattern, 0))[0]
         return F.sort_array(F.concat(base, F.flatten(F.transform(tokens, random))))
 
     return docs.withColumn(spans_column, F.transform(F.array(base_spans(text)), merged)[0])
