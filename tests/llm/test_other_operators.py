@@ -91,6 +91,31 @@ def test_a_conversation_goes_on_in_the_next_batch(spark):
     assert out == {1: (40, sum(len(f"t{t}") for t in range(0, 40, 2))), 2: (1, 0), 3: (1, 0)}
 
 
+@pytest.mark.parametrize("records", [3, 10_000])
+def test_large_conversations_come_in_pieces(spark, records):
+    rng = random.Random(5)
+    rows = [(c, t, rng.choice(["user", "assistant"]), "é#" * rng.randint(0, 40)) for c, n in ((1, 60), (2, 1), (3, 25), (None, 40), (4, 2)) for t in range(n)]
+    table = spark.createDataFrame([(*r, 0, "") for r in rows], TURNS).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+    try:
+        pieces = chat.format_conversations(table, piece=300).collect()
+        digests = [sorted(map(tuple, chat.digests(chat.format_conversations(table, piece=p)).collect()), key=str) for p in (300, 1 << 20)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert digests[0] == digests[1] and len(digests[0]) == 5
+    of = defaultdict(list)
+    for r in pieces:
+        of[r.conv_id].append(r)
+    for whole in chat.format_conversations(table).collect():
+        parts = sorted(of[whole.conv_id], key=lambda r: r.part)
+        assert [r.part for r in parts] == list(range(len(parts))) and "".join(r.formatted for r in parts) == whole.formatted
+        assert [r.offset for r in parts] == [len("".join(x.formatted for x in parts[:i]).encode()) for i in range(len(parts))]
+        assert [a for r in parts for a in r.loss_starts] == whole.loss_starts and [b for r in parts for b in r.loss_ends] == whole.loss_ends
+        assert sum(r.n_turns for r in parts) == whole.n_turns
+        assert all(len(r.formatted.encode()) < 2 * (2 * 300 + 160) + 20 * 40 for r in parts)
+    assert len(of[1]) > 3 and len(of[None]) > 2
+
+
 def test_assembly_of_many_small_and_large_parts():
     texts = ["x" * n for n in (0, 1, 5, 3_000_000, 2, 0)] * 3
     buffer, turns, starts, ends = chat.assemble(pa.array(["r"] * len(texts)), pa.array(texts))

@@ -22,6 +22,7 @@ from .store import reachable
 
 OPEN, TAIL = "### ", "</turn>\n"
 BLOCK = 1 << 20  # bytes scattered at a time
+PIECE = 16 << 20  # bytes of roles and texts after which an open conversation gets a row
 TURN = re.compile(rb"### ((?:[^\\\n]++|\\.)*+)\n((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.DOTALL)
 ESCAPE = re.compile(rb"\\(.)", re.DOTALL)
 
@@ -78,33 +79,49 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
     return out, turns, starts, ends
 
 
-FORMATTED = "conv_id long, n_turns long, formatted string, loss_starts array<long>, loss_ends array<long>"
+FORMATTED = "conv_id long, n_turns long, formatted string, loss_starts array<long>, loss_ends array<long>, part long, offset long"
 
 
-def _formatted(rows: pa.Table, trained: str) -> pa.RecordBatch:
-    """One row per conversation of rows that are sorted by conversation."""
-    rows = rows.combine_chunks()
+def _formatted(batches: list[pa.RecordBatch], trained: str, part: int, offset: int) -> pa.RecordBatch:
+    """One row per conversation of rows that are sorted by conversation; ``part`` and ``offset`` are those of the first."""
+    rows = pa.Table.from_batches(batches).combine_chunks()
     convs, roles, texts = (rows.column(i).chunk(0) for i in (0, 1, 2))
     buffer, turns, starts, ends = assemble(roles, texts)
     keys, null = pc.fill_null(convs, 0).to_numpy(zero_copy_only=False), convs.is_null().to_numpy(zero_copy_only=False)
     new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (null[1:] != null[:-1])]))
     bounds = np.concatenate([new, [len(keys)]])
     loss = pc.fill_null(pc.equal(roles, trained), False).to_numpy(zero_copy_only=False)
-    base = np.repeat(turns[bounds[:-1]], np.diff(bounds))
+    first = np.arange(len(new)) == 0
+    base = np.repeat(turns[bounds[:-1]] - first * offset, np.diff(bounds))
     at = pa.array(np.concatenate([[0], np.cumsum(np.add.reduceat(loss.astype(np.int64), new))]).astype(np.int32))
     offsets = turns[bounds]
     text = pa.LargeStringArray.from_buffers(len(new), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(buffer)).cast(pa.string())
     lists = [pa.ListArray.from_arrays(at, pa.array((x - base)[loss], pa.int64())) for x in (starts, ends)]
-    arrays = [convs.take(pa.array(new)), pa.array(np.diff(bounds), pa.int64()), text, *lists]
-    return pa.RecordBatch.from_arrays(arrays, names=["conv_id", "n_turns", "formatted", "loss_starts", "loss_ends"])
+    arrays = [convs.take(pa.array(new)), pa.array(np.diff(bounds), pa.int64()), text, *lists, pa.array(first * part, pa.int64()), pa.array(first * offset, pa.int64())]
+    return pa.RecordBatch.from_arrays(arrays, names=["conv_id", "n_turns", "formatted", "loss_starts", "loss_ends", "part", "offset"])
 
 
-def format_conversations(turns: DataFrame, trained: str = "assistant") -> DataFrame:
+def _slices(batches: Iterator[pa.RecordBatch], piece: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches cut so that none has more than ``piece`` bytes of roles and texts, but for a single row, and the bytes of each row."""
+    for batch in batches:
+        sizes = sum(pc.fill_null(pc.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
+        total, start = np.concatenate([[0], np.cumsum(sizes)]), 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(total, total[start] + piece, side="right")) - 1)
+            yield batch.slice(start, stop - start), sizes[start:stop]
+            start = stop
+
+
+def format_conversations(turns: DataFrame, trained: str = "assistant", piece: int = PIECE) -> DataFrame:
     """One row per conversation of ``turns(conv_id, turn, role, text)``: its formatted text and the loss mask.
 
     The mask holds, in order, the byte range of every text of the role ``trained``. Turns are ordered by number, nulls
     first, ties by role and text. Null roles and texts are empty; rows with a null id are one conversation; repeated
-    rows are turns of their own. Rows are sorted, not gathered: a task holds one batch and what began in it.
+    rows are turns of their own.
+
+    A conversation of more than ``piece`` bytes has several rows, in order: ``part`` counts them from 0, ``offset`` is
+    the byte of the conversation at which a row begins, and the mask counts from the conversation's begin. Rows are
+    sorted, not gathered, and a task holds two pieces at most. It formats a conversation alone, one piece after the other.
     """
     reachable(turns.sparkSession)
     plain = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), F.col("turn").alias("turn"))
@@ -112,21 +129,29 @@ def format_conversations(turns: DataFrame, trained: str = "assistant") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        open_id, part, offset, size = None, 0, 0, 0
+        for batch, sizes in _slices(batches, piece):
             ids = batch.column(0)
             last = ids[-1].as_py()
             same = pc.is_null(ids) if last is None else pc.fill_null(pc.equal(ids, last), False)
             open_from = int(np.argmax(same.to_numpy(zero_copy_only=False)))
-            if held and (open_from > 0 or held[-1].column(0)[-1].as_py() != last):
-                yield _formatted(pa.Table.from_batches([*held, batch.slice(0, open_from)]), trained)
-                held = []
+            goes_on = (held or part) and ids[0].as_py() == open_id
+            if held and (open_from > 0 or not goes_on):
+                yield _formatted([*held, batch.slice(0, open_from)], trained, part, offset)
+                held, part, offset, size = [], 0, 0, 0
             elif open_from > 0:
-                yield _formatted(pa.Table.from_batches([batch.slice(0, open_from)]), trained)
+                yield _formatted([batch.slice(0, open_from)], trained, *((part, offset) if goes_on else (0, 0)))
+                part, offset = 0, 0
+            elif not goes_on:
+                part, offset = 0, 0
             held.append(batch.slice(open_from))
+            open_id, size = last, size + int(sizes[open_from:].sum())
+            if size >= piece:
+                out = _formatted(held, trained, part, offset)
+                yield out
+                held, part, offset, size = [], part + 1, offset + pc.binary_length(out.column(2))[0].as_py(), 0
         if held:
-            yield _formatted(pa.Table.from_batches(held), trained)
+            yield _formatted(held, trained, part, offset)
 
     return ordered.mapInArrow(run, FORMATTED)
 
@@ -148,23 +173,58 @@ def masked_texts(formatted: bytes, starts: list[int], ends: list[int]) -> list[b
     return [unescaped(formatted[a:b]) for a, b in zip(starts, ends, strict=True)]
 
 
+class _Digest:
+    """Running digests of one conversation, piece by piece."""
+
+    def __init__(self, conv: int | None) -> None:
+        self.conv, self.part, self.offset, self.turns, self.chars, self.length = conv, 0, 0, 0, 0, 0
+        self.all, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, conv: int | None, part: int, offset: int, data: bytes, starts: list[int], ends: list[int], length: int) -> None:
+        if (conv, part, offset) != (self.conv, self.part, self.offset):
+            raise ValueError(f"part {part} of conversation {conv} does not follow part {self.part - 1} of {self.conv}")
+        for p in read_back(data):
+            self.all.update(b"%s\n%s\n" % p)
+            self.turns += 1
+        for text in masked_texts(data, [x - offset for x in starts], [x - offset for x in ends]):
+            self.loss.update(text)
+            self.chars += len(text.decode())
+        self.part, self.offset, self.length = part + 1, offset + len(data), self.length + length
+
+    def row(self) -> tuple:
+        return self.conv, self.turns, self.all.hexdigest(), self.chars, self.loss.hexdigest(), self.length
+
+
 def digests(formatted: DataFrame) -> DataFrame:
-    """What reading the formatted text back gives, as digests: all turns, and the texts under the loss mask."""
+    """What reading the formatted text back gives, as digests: all turns, and the texts under the loss mask.
+
+    Rows of a conversation are read as ``format_conversations`` gives them, one after the other; a part that does not
+    follow the one before it is an error.
+    """
     reachable(formatted.sparkSession)
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+    def made(done: list[_Digest]) -> pa.RecordBatch:
+        columns = zip(*(d.row() for d in done), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: _Digest | None = None
         for batch in batches:
-            n, turns, chars, loss = [], [], [], []
-            for text, starts, ends in zip(batch.column(1).cast(pa.binary()), batch.column(2), batch.column(3), strict=True):
-                data = text.as_py()
-                parts = read_back(data)
-                n.append(len(parts))
-                turns.append(hashlib.sha256(b"".join(b"%s\n%s\n" % p for p in parts)).hexdigest())
-                under = b"".join(masked_texts(data, starts.as_py(), ends.as_py()))
-                chars.append(len(under.decode()))
-                loss.append(hashlib.sha256(under).hexdigest())
-            arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(turns, pa.string()), pa.array(chars, pa.int64()), pa.array(loss, pa.string()), batch.column(4)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-
-    rows = formatted.select("conv_id", "formatted", "loss_starts", "loss_ends", F.length("formatted").cast("long").alias("formatted_chars"))
+            done = []
+            for conv, text, starts, ends, length, part, offset in zip(*batch.columns, strict=True):
+                conv, part = conv.as_py(), part.as_py()
+                if part == 0:
+                    done += [now] if now else []
+                    now = _Digest(conv)
+                elif now is None:
+                    raise ValueError(f"part {part} of conversation {conv} comes first")
+                now.add(conv, part, offset.as_py(), text.as_buffer().to_pybytes(), starts.as_py(), ends.as_py(), length.as_py())
+            if done:
+                yield made(done)
+        if now:
+            yield made([now])
+
+    rows = formatted.select("conv_id", "formatted", "loss_starts", "loss_ends", F.length("formatted").cast("long").alias("formatted_chars"), "part", "offset")
     return rows.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
