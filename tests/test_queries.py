@@ -26,4 +26,5 @@ def test_query(spark, con, sf, name):
 def test_entry(spark):
     df = entry_module.entry(spark)
     assert isinstance(df, DataFrame) and df.count() > 0
-    assert set(entry_module.oracle_sql()) == set(ORACLES) == set(entry_module.queries())
+    assert set(ORACLES) == set(QUERIES)  # every query outside of the optional part has its twin
+    assert set(ORACLES) <= set(entry_module.oracle_sql()) <= set(entry_module.queries())
