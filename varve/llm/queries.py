@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, each over its whole table, and their SQL where SQL can express them."""
+"""Registered queries of the operators, each over its whole table, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from . import bpe, chat, secret_scan, warc
 from .decontamination import contained_items
 from .embedding_dedup import near_vectors
 from .minhash import near_duplicates
+from .ngram_lm import score_texts
 from .quality_gam import remainder, score_quality
 from .store import cut, folder, reachable
 from .toxicity import learn, score_toxicity
@@ -182,3 +183,35 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"), F.lit(PLANTED_TURN).alias("text"))
     return chat.digests(chat.format_conversations(turns.unionByName(planted)))
+
+
+# crc32 of a decimal id, from a table of 256 steps.
+_CRC = """crc AS (SELECT list_transform(range(256), lambda x: list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS steps),
+ids AS (
+  SELECT i AS id, xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(i::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)]))) AS crc32
+  FROM (SELECT DISTINCT doc_id AS i FROM documents WHERE doc_id IS NOT NULL), crc)"""
+
+_OP13 = rf"""
+WITH {_CRC},
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(crc32, 0) % 10 <> 0 AS learn,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') || [' '] AS w
+  FROM documents LEFT JOIN ids ON id = doc_id),
+t AS (SELECT r, learn, w[i] AS w, CASE WHEN i = 1 THEN ' ' ELSE w[i - 1] END AS h FROM (SELECT r, learn, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+u AS (SELECT w, count(*) AS c FROM t WHERE learn GROUP BY w),
+n AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM u),
+k AS (SELECT h, count(*) AS c FROM t WHERE learn GROUP BY h),
+g AS (SELECT h, w, count(*) AS c FROM t WHERE learn GROUP BY h, w),
+p AS (
+  SELECT r, u.c, (coalesce(u.c, 0) + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1)) AS p, 0.8::DOUBLE * pow(k.c, -0.1::DOUBLE) AS b, coalesce(g.c, 0) / k.c AS q
+  FROM t CROSS JOIN n LEFT JOIN u USING (w) LEFT JOIN k USING (h) LEFT JOIN g USING (h, w)),
+s AS (SELECT r, count(*) AS n_tokens, count(c) AS n_known, fsum(log10(p)) AS base_score, fsum(log10(CASE WHEN b IS NULL THEN p ELSE (1 - b) * q + b * p END)) AS score FROM p GROUP BY r)
+SELECT doc_id, NOT learn AS held_out, n_tokens, n_known, CAST(n AS BIGINT) AS train_tokens, round(base_score, 8) AS base_score, round(score, 8) AS score
+FROM d JOIN s USING (r) CROSS JOIN n"""
+
+
+@query("op13_lm_scoring", _OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = remainder("doc_id", 10)
+    out = score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), rest != 0)
+    return out.select("doc_id", (rest == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", F.round("base_score", 8).alias("base_score"), F.round("score", 8).alias("score"))
