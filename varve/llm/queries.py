@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import bpe, chat, secret_scan, warc
 from .decontamination import contained_items
 from .embedding_dedup import near_vectors
+from .merkle import ascii_lower, merkle_manifest
 from .minhash import near_duplicates
 from .ngram_lm import score_texts
 from .quality_gam import remainder, score_quality
@@ -195,7 +196,8 @@ _OP13 = rf"""
 WITH {_CRC},
 d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(crc32, 0) % 10 <> 0 AS learn,
-         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') || [' '] AS w
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') || [' '] AS w
   FROM documents LEFT JOIN ids ON id = doc_id),
 t AS (SELECT r, learn, w[i] AS w, CASE WHEN i = 1 THEN ' ' ELSE w[i - 1] END AS h FROM (SELECT r, learn, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
 u AS (SELECT w, count(*) AS c FROM t WHERE learn GROUP BY w),
@@ -215,3 +217,43 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = remainder("doc_id", 10)
     out = score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), rest != 0)
     return out.select("doc_id", (rest == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", F.round("base_score", 8).alias("base_score"), F.round("score", 8).alias("score"))
+
+
+_LEAF = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}"))
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP12 = f"""
+WITH RECURSIVE {_CRC},
+d AS (
+  SELECT *, CASE WHEN coalesce(crc32, 0) % 3 = 0 THEN sha256({_LEAF.format(text=_FOLDED)}) ELSE leaf END AS claimed
+  FROM (SELECT *, sha256({_LEAF.format(text="text")}) AS leaf FROM documents) LEFT JOIN ids ON id = doc_id),
+p AS (
+  SELECT row_number() OVER () AS r, *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM d),
+t AS (
+  SELECT 0 AS lvl, lang, pos AS i, leaf AS h, n FROM p
+  UNION ALL SELECT lvl + 1, lang, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM t WHERE n > 1 GROUP BY lvl, lang, i // 8, n),
+s AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (
+  SELECT 0 AS lvl, place AS i, subroot AS h, n FROM s
+  UNION ALL SELECT lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM u WHERE n > 1 GROUP BY lvl, i // 8, n),
+steps AS (
+  SELECT r, lvl, coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (WHERE t.i < p.pos // (8 ** lvl)::BIGINT), '') AS l, coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (WHERE t.i > p.pos // (8 ** lvl)::BIGINT), '') AS g
+  FROM p JOIN t ON t.lang IS NOT DISTINCT FROM p.lang AND t.n > 1 AND t.i // 8 = p.pos // (8 ** (lvl + 1))::BIGINT GROUP BY r, lvl
+  UNION ALL
+  SELECT r, 100 + lvl, coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (WHERE u.i < s.place // (8 ** lvl)::BIGINT), ''), coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (WHERE u.i > s.place // (8 ** lvl)::BIGINT), '')
+  FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN u ON u.n > 1 AND u.i // 8 = s.place // (8 ** (lvl + 1))::BIGINT GROUP BY r, lvl),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lvl) AS step, count(*) OVER (PARTITION BY r) AS steps FROM steps),
+f AS (
+  SELECT r, 0::BIGINT AS step, claimed AS h FROM p
+  UNION ALL SELECT f.r, k.step, sha256(k.l || f.h || k.g) FROM f JOIN k ON k.r = f.r AND k.step = f.step + 1),
+last AS (SELECT r, arg_max(h, step) AS h FROM f GROUP BY r),
+proof AS (SELECT r, sha256(string_agg(l || g, '' ORDER BY step)) AS h FROM k GROUP BY r),
+top AS (SELECT h AS root FROM u WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof.h, sha256('')) AS proof_sha256, last.h AS folded_root, last.h = root AS verified
+FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang CROSS JOIN top JOIN last USING (r) LEFT JOIN proof USING (r)"""
+
+
+@query("op12_merkle_manifest", _OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.when(remainder("doc_id", 3) == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    return merkle_manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], {"text": tampered})
