@@ -47,7 +47,7 @@ END = mix(np.array([0x656E64206F662074], dtype=np.uint64))[0]  # a text's end, w
 
 
 def _packed(x: np.ndarray, kind: str) -> bytes:
-    """Numbers by byte planes: planes of zeros, as those of small numbers, take no room once compressed."""
+    """Numbers by byte planes: planes that are all zero or alike, as in small or sorted numbers, hardly take room compressed."""
     return np.ascontiguousarray(x.astype(kind).view(np.uint8).reshape(len(x), -1).T).tobytes()
 
 
@@ -148,7 +148,7 @@ def _sent(order: int, parts: int):
                 columns = [
                     pa.array(some, pa.int32()),
                     pa.array(np.full(len(some), row["block"])),
-                    pa.array([keys[at[p] : at[p + 1]].tobytes() for p in some], pa.binary()),
+                    pa.array([_packed(keys[at[p] : at[p + 1]], "<u8") for p in some], pa.binary()),
                     pa.array([_packed(counts[at[p] : at[p + 1]], "<u4") for p in some], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "keys", "counts"])
@@ -158,7 +158,7 @@ def _sent(order: int, parts: int):
 
 def _added(group: pa.Table) -> pa.Table:
     """The totals of a partition's n-grams, for each block in the order of the keys that it sent."""
-    sent = [np.frombuffer(k, "<u8") for k in group.column("keys").to_pylist()]
+    sent = [_unpacked(k, "<u8") for k in group.column("keys").to_pylist()]
     counts = np.concatenate([_unpacked(c, "<u4") for c in group.column("counts").to_pylist()])
     keys, inverse = np.unique(np.concatenate(sent), return_inverse=True)
     totals = np.zeros(len(keys), dtype=np.int64)
@@ -171,26 +171,27 @@ def _added(group: pa.Table) -> pa.Table:
 
 @dataclass
 class Automaton:
-    """The arcs that the tokens of a block can take: per order and position, lists of the weights in log10.
+    """The arcs that the tokens of a block can take: per order and position, the weights in log10.
 
     ``seen[n][i]``: the n-gram of ``n`` words that ends at ``i`` is an arc, ``arc[n][i]`` its weight, ``fail[n][i]`` that of
     the failure arc from its history. At a root, all words have an arc: those never seen share that of the unknown word.
     """
 
     order: int
-    seen: list[list[bool]]
-    arc: list[list[float]]
-    fail: list[list[float]]
+    seen: list[np.ndarray]
+    arc: list[np.ndarray]
+    fail: list[np.ndarray]
 
     def walk(self, begin: int, end: int) -> list[float]:
         """The weights of all arcs taken from the first token to the last; a state is the length of its history."""
+        seen, arc, fail = ([x[begin:end].tolist() for x in xs] for xs in (self.seen, self.arc, self.fail))
         state, out = 1 if self.order > 1 else 0, []
-        for i in range(begin, end):
-            while state and not self.seen[state + 1][i]:
-                out.append(self.fail[state + 1][i])
+        for i in range(end - begin):
+            while state and not seen[state + 1][i]:
+                out.append(fail[state + 1][i])
                 state -= 1
-            out.append(self.arc[state + 1][i])
-            state = min(state + 1, self.order - 1) if self.seen[state + 1][i] else 0
+            out.append(arc[state + 1][i])
+            state = min(state + 1, self.order - 1) if seen[state + 1][i] else 0
         return out
 
 
@@ -202,7 +203,8 @@ def automaton(block: Block, grams: list[tuple[np.ndarray, np.ndarray]], totals:
         found[n, at] = totals[index]
     first = np.cumsum(block.lengths) - block.lengths
     p = (found[1] + ADDED) / (train_tokens + ADDED * (n_words + 1))
-    seen, arc, fail = [[], found[1] > 0], [[], np.log10(p)], [[], np.zeros(size)]
+    none = np.empty(0)  # there are no n-grams of no words
+    seen, arc, fail = [none, found[1] > 0], [none, np.log10(p)], [none, none]
     for n in range(2, order + 1):
         history = np.zeros(size, dtype=np.int64)  # how often training texts go on from the n - 1 tokens before
         history[1:] = found[n - 1, :-1]
@@ -213,7 +215,7 @@ def automaton(block: Block, grams: list[tuple[np.ndarray, np.ndarray]], totals:
         seen.append(found[n] > 0)
         arc.append(np.log10(p))
         fail.append(np.log10(share))
-    return Automaton(order, *([x if isinstance(x, list) else x.tolist() for x in xs] for xs in (seen, arc, fail)))
+    return Automaton(order, seen, arc, fail)
 
 
 def _scored(order: int, train_tokens: int, n_words: int, train_texts: int, kind: pa.DataType):
@@ -235,7 +237,7 @@ def _scored(order: int, train_tokens: int, n_words: int, train_texts: int, kind:
                 "id": pa.array(row["ids"], kind),
                 "n_tokens": pa.array(block.lengths, pa.int64()),
                 "n_known": pa.array([int(known[b] - known[a]) for a, b in spans], pa.int64()),
-                "base_score": pa.array([math.fsum(machine.arc[1][a:b]) for a, b in spans], pa.float64()),
+                "base_score": pa.array([math.fsum(machine.arc[1][a:b].tolist()) for a, b in spans], pa.float64()),
                 "score": pa.array([math.fsum(machine.walk(a, b)) for a, b in spans], pa.float64()),
             }
         )
