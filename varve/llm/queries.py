@@ -14,6 +14,7 @@ from .merkle import ascii_lower, merkle_manifest
 from .minhash import near_duplicates
 from .ngram_lm import score_texts
 from .quality_gam import remainder, score_quality
+from .ranked_search import best_documents
 from .store import cut, folder, reachable
 from .toxicity import learn, score_toxicity
 from .url_templates import judge_urls
@@ -257,3 +258,25 @@ FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang CROSS JOIN top JOIN last USI
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.when(remainder("doc_id", 3) == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
     return merkle_manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], {"text": tampered})
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+l AS (SELECT r, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM l),
+f AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+q AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark)),
+w AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f CROSS JOIN s GROUP BY t, docs),
+m AS (SELECT r, doc_id, 50 + (50 * n * docs) // terms AS m FROM l CROSS JOIN s),
+c AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM q JOIN w USING (t) JOIN f USING (t) JOIN m USING (r) GROUP BY item_id, r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM c WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 50"""
+
+
+@query("op11_ranked_search", _OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
