@@ -7,8 +7,8 @@ items, the whole batch of pairs is left. What remains is scored in integers, so
 
 Documents are cut into terms once, by task; only terms that some item has are kept. A first share of the documents, by a
 hash, is searched to begin with: the ``k``-th best scores in it can only be too low, so they are safe bounds for the
-rest. A task builds the tree of a few thousand documents at a time, ordered so that documents with the same rare terms are
-neighbours, and keeps ``k`` documents an item. Items are searched in blocks of bounded size; nothing that grows with the
+rest. A task builds the tree of a few thousand documents at a time, halved again and again by which of two far ones they
+are nearer to, and keeps ``k`` documents an item. Items are searched in blocks of bounded size; nothing that grows with the
 documents is broadcast or comes to the driver.
 """
 
@@ -29,7 +29,7 @@ from .store import cut, reachable
 
 BEST = 50
 LEAF_DOCUMENTS, FAN = 32, 8
-CHUNK_DOCUMENTS, CHUNK_ENTRIES = 4_096, 1_000_000  # in the tree of documents that a task holds at a time
+CHUNK_DOCUMENTS, CHUNK_CELLS = 4_096, 16_000_000  # in the tree of documents that a task holds at a time, cells are documents times terms
 LEAF_ITEMS = 4
 BLOCK_CELLS = 2_000_000  # items times their distinct terms, in a block of items
 FIRST_SHARE = 16  # one in so many documents is searched first
@@ -82,6 +82,13 @@ class Tree:
     root: int
 
 
+def halved(rows: np.ndarray) -> np.ndarray:
+    """The rows by how much nearer they are to one of two far ones than to the other."""
+    a = rows[np.argmin(rows @ rows.sum(axis=0))]
+    b = rows[np.argmin(rows @ a)]
+    return np.argsort(rows @ (a - b), kind="stable")
+
+
 def item_tree(weights: np.ndarray) -> Tree:
     """A binary tree of the rows of ``weights``: the rows nearer to one of two far ones, and the others, half and half."""
     maxima: list[np.ndarray] = []
@@ -91,10 +98,7 @@ def item_tree(weights: np.ndarray) -> Tree:
     def grow(rows: np.ndarray) -> int:
         below: list[int] = []
         if len(rows) > LEAF_ITEMS:
-            some = weights[rows]
-            a = some[np.argmin(some @ some.sum(axis=0))]
-            b = some[np.argmin(some @ a)]
-            order = np.argsort(some @ (a - b), kind="stable")
+            order = halved(weights[rows])
             half = len(rows) // 2
             below = [grow(rows[order[:half]]), grow(rows[order[half:]])]
         maxima.append(weights[rows].max(axis=0))
@@ -217,35 +221,41 @@ class Search:
             self._bounds()
 
 
+def document_order(bounds: np.ndarray, terms: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Documents in the order of the leaves of their tree."""
+    used, column = np.unique(terms, return_inverse=True)
+    rows = np.zeros((len(bounds) - 1, len(used)), dtype=np.float32)
+    rows[np.repeat(np.arange(len(rows)), np.diff(bounds)), column] = values
+    out, stack = [], [np.arange(len(rows))]
+    while stack:
+        some = stack.pop()
+        if len(some) <= LEAF_DOCUMENTS:
+            out.append(some)
+            continue
+        order = halved(rows[some])
+        half = -(-len(some) // (2 * LEAF_DOCUMENTS)) * LEAF_DOCUMENTS  # leaves are whole, but for the last one
+        stack += [some[order[half:]], some[order[:half]]]
+    return np.concatenate(out)
+
+
 def _searched(held: list[list[int]], weights: np.ndarray, k: int, floors: np.ndarray, documents: int, total: int):
     def chunk(search: Search, ids: pa.Array, n: np.ndarray, bounds: np.ndarray, terms: np.ndarray, tfs: np.ndarray) -> None:
-        # Neighbours share their heaviest terms, so that few coordinates of a node are large.
-        own = weights[terms]
-        owner = np.repeat(np.arange(len(n)), np.diff(bounds))
-        heavy = np.lexsort((-own, owner))
-        start = bounds[:-1]
-        keys = []
-        for place in range(2):
-            has = np.diff(bounds) > place
-            key = np.full(len(n), -1, dtype=np.int64)
-            key[has] = terms[heavy[start[has] + place]]
-            keys.append(key)
-        order = np.lexsort(keys[::-1])
+        values = _values(tfs, np.repeat(n, np.diff(bounds)), documents, total)
+        order = document_order(bounds, terms, values * weights[terms])
         sizes = np.diff(bounds)[order]
-        entry = np.repeat(start[order] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        terms, tfs = terms[entry], tfs[entry]
-        values = _values(tfs, np.repeat(n[order], sizes), documents, total)
-        search.visit(ids[order], np.concatenate([[0], np.cumsum(sizes)]), terms, values)
+        entry = np.repeat(bounds[order] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        search.visit(ids[order], np.concatenate([[0], np.cumsum(sizes)]), terms[entry], values[entry])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = Search(block_of(held, weights), k, floors)
+        most = max(LEAF_DOCUMENTS, min(CHUNK_DOCUMENTS, CHUNK_CELLS // max(1, len(weights))))
         for batch in batches:
             ids, n = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
             bounds = batch.column(2).offsets.to_numpy().astype(np.int64)
             terms, tfs = batch.column(2).values.to_numpy(), batch.column(3).values.to_numpy()
             at = 0
             while at < len(n):
-                end = min(len(n), at + CHUNK_DOCUMENTS, max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK_ENTRIES, side="right")) - 1))
+                end = min(len(n), at + most)
                 part = slice(bounds[at], bounds[end])
                 chunk(search, ids[at:end], n[at:end], bounds[at : end + 1] - bounds[at], terms[part], tfs[part])
                 at = end
