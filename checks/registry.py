@@ -13,14 +13,16 @@ from varve import constants as C
 from varve.functions import cleaning as K
 from varve.functions import market as M
 from varve.functions import names as N
-from varve.operators import dedup, gold, market, nested, quality, quantiles, silver, tables
-from varve.plans import jobs
+from varve.operators import dedup, gold, market, nested, quality, quantiles, silver, states, tables
+from varve.plans import changes, jobs
 from varve.plans import registry as transformers
 from varve.session import shared_folder
+from varve.sinks import compaction
 from varve.sinks import files as sinks
 from varve.sources import files as sources
 from varve.sources import listing
 from varve.streaming import bronze as streams
+from varve.streaming import silver as silver_streams
 
 from . import inputs as I
 from .oracle import DAY, rounded, sql
@@ -177,12 +179,16 @@ def read_mixed_types(spark, sf):
     return sources.read_mixed_dataset(spark, root)
 
 
-@query("read_csv_first_rows", "SELECT n_nationkey, n_regionkey FROM nation WHERE n_nationkey < 10")
+@query("read_csv_first_rows", """
+SELECT o_orderkey, o_custkey, CAST(m AS INTEGER) AS m FROM (
+  SELECT *, row_number() OVER (PARTITION BY m ORDER BY o_orderkey) AS n
+  FROM (SELECT o_orderkey, o_custkey, 12 * year(o_orderdate) + month(o_orderdate) AS m FROM orders)) WHERE n <= 10""")
 def read_csv_first_rows(spark, sf):
-    nation = I.table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    month = 12 * F.year("o_orderdate") + F.month("o_orderdate")
+    rows = I.table(spark, sf, "orders").select("o_orderkey", "o_custkey", month.alias("m"))
     path = new_folder(spark, "csv")
-    nation.coalesce(1).sortWithinPartitions("n_nationkey").write.option("header", "true").csv(path)
-    return sources.read_csv(spark, path, max_rows=10, schema=nation.schema)
+    rows.repartition("m").sortWithinPartitions("m", "o_orderkey").write.option("header", "true").partitionBy("m").csv(path)  # a file a month
+    return sources.read_csv(spark, path, max_rows=10, schema=rows.schema)
 
 
 @query("register_external", "SELECT o_orderkey, o_custkey FROM orders")
@@ -297,6 +303,15 @@ def compact(spark, sf):
     return _readings_out(spark.read.parquet(sinks.compact(spark, source, new_folder(spark, "compacted"))))
 
 
+@query("pack", f"SELECT {BRONZE_COLUMNS} FROM readings")
+def pack(spark, sf):
+    path = new_folder(spark, "small")
+    I.readings(spark, sf).repartition(6).write.partitionBy(*C.DATE_PARTS).parquet(path)
+    if not compaction.pack(spark, path):
+        raise RuntimeError("nothing was packed")
+    return _readings_out(spark.read.parquet(path))
+
+
 @query("encode_messages", """
 SELECT coalesce(city, 'none') AS key,
        concat('{"kafka_offset":', kafka_offset, ',"wind_speed":', coalesce('"' || wind_speed || '"', 'null'), '}') AS value
@@ -377,6 +392,48 @@ def stream_restart(spark, sf):
     return _readings_out(spark.read.parquet(path))
 
 
+def _message_files(spark, sf, path: str, halves) -> None:
+    """Some messages as files of a folder that a stream reads."""
+    rows = I.messages(spark, sf).withColumn("__half", F.col("offset") % 4)
+    for half in halves:
+        rows.where(F.col("__half") == half).drop("__half").repartition(1).write.mode("append").parquet(path)
+
+
+def _message_stream(spark, sf, path: str) -> DataFrame:
+    return spark.readStream.schema(I.messages(spark, sf).schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("rate_capped_stream", f"SELECT {BRONZE_COLUMNS} FROM bronze")
+def rate_capped_stream(spark, sf):
+    inbox, path = new_folder(spark, "inbox"), new_folder(spark, "bronze")
+    _message_files(spark, sf, inbox, range(4))
+    q = streams.bronze_stream(_message_stream(spark, sf, inbox), path, new_folder(spark, "checkpoint"), trigger=None, processed_at=F.col("kafka_timestamp") + F.expr("INTERVAL 90 MINUTES"))
+    q.awaitTermination()
+    if sum(p["numInputRows"] > 0 for p in q.recentProgress) < 4:
+        raise RuntimeError("the cap did not hold")
+    return _readings_out(spark.read.parquet(path))
+
+
+@query("bounded_run", f"SELECT {BRONZE_COLUMNS} FROM bronze")
+def bounded_run(spark, sf):
+    path, checkpoint = new_folder(spark, "bronze"), new_folder(spark, "checkpoint")
+    messages = I.messages(spark, sf, I.event_stream(spark, sf))
+    q = streams.bronze_stream(messages, path, checkpoint, trigger=None, processed_at=F.col("kafka_timestamp") + F.expr("INTERVAL 90 MINUTES"))
+    if not streams.run_bounded(q, 3300):
+        raise RuntimeError("the run was cut off")
+    return _readings_out(spark.read.parquet(path))
+
+
+@query("silver_stream", f"SELECT {SILVER_COLUMNS} FROM silver_bronze")
+def silver_stream(spark, sf):
+    inbox, lake, checkpoint = (new_folder(spark, n) for n in ("inbox", "lake", "checkpoint"))
+    for halves in ((0, 1), (2, 3)):  # stopped, and started again where it stopped
+        _message_files(spark, sf, inbox, halves)
+        read_at = F.col("kafka_timestamp") + F.expr("INTERVAL 90 MINUTES")
+        silver_streams.silver_stream(_message_stream(spark, sf, inbox), lake, checkpoint, trigger=None, processed_at=read_at).awaitTermination()
+    return plain(spark.read.parquet(f"{lake}/silver").select(*silver.schemas.SILVER.names))
+
+
 @query("clean_wind_speed", "SELECT kafka_offset, wind_text, wind_speed FROM cleaned")
 def clean_wind_speed(spark, sf):
     return I.readings(spark, sf).select("kafka_offset", F.col("wind_speed").alias("wind_text"), K.clean_wind_speed("wind_speed").alias("wind_speed"))
@@ -555,6 +612,14 @@ def daily_metrics(spark, sf):
     return plain(gold.daily_metrics(_silver(spark, sf)), *GOLD_ROUND)
 
 
+@query("daily_metrics_merged", "SELECT * FROM daily")
+def daily_metrics_merged(spark, sf):
+    rows = _silver(spark, sf)
+    batches = [states.daily_states(rows.where(F.coalesce(F.pmod(F.hash("kafka_offset"), F.lit(3)), F.lit(0)) == i)) for i in range(3)]
+    merged = states.merge_states(states.merge_states(*batches[:2]), batches[2])
+    return plain(states.metrics_of(merged), *GOLD_ROUND)
+
+
 @query("hourly_metrics", """
 SELECT data_source, year, month, day, hour, city,
        round(avg(temperature) FILTER (WHERE temperature <> 0) + 1e-10, 6) AS hourly_avg_temperature,
@@ -938,6 +1003,12 @@ def gold_suite(spark, sf):
     return quality.run_suite(gold.weather_metrics(_silver(spark, sf), gold_time(), ordered=False), quality.GOLD_SUITE)
 
 
+@query("suite_merged", _result("gold", _GOLD_CHECKS, "gold"))
+def suite_merged(spark, sf):
+    rows = gold.weather_metrics(_silver(spark, sf), gold_time(), ordered=False)
+    return quality.merged_suite(quality.suite_counters(rows, quality.GOLD_SUITE), quality.GOLD_SUITE, rows)
+
+
 @query("silver_suite", _result("silver", _SILVER_CHECKS, "silver"))
 def silver_suite(spark, sf):
     return quality.run_suite(_silver(spark, sf), quality.SILVER_SUITE)
@@ -1090,9 +1161,11 @@ def profile(spark, sf):
 
 @query("no_data_report", """
 SELECT false AS success, CAST(count(*) AS BIGINT) AS total_records, CAST(0 AS BIGINT) AS validations_checked, CAST(0 AS BIGINT) AS successful_validations,
-       CAST(0 AS BIGINT) AS failed_validations, 0.0::DOUBLE AS success_rate, 'No data' AS error FROM readings WHERE false""")
+       CAST(0 AS BIGINT) AS failed_validations, 0.0::DOUBLE AS success_rate, 'No data' AS error FROM readings WHERE temperature > 1000""")
 def no_data_report(spark, sf):
-    return jobs.validate(spark, _lake(spark, sf) + "-gone")
+    path = new_folder(spark, "readings")
+    sinks.write_partitioned(I.readings(spark, sf).where("temperature > 1000"), path)
+    return jobs.validate(spark, path)
 
 
 @query("run_all_twice", "SELECT * FROM gold_from_bronze")
@@ -1104,6 +1177,15 @@ def run_all_twice(spark, sf):
     return plain(spark.read.parquet(published), *GOLD_ROUND)
 
 
+@query("run_all_incremental", "SELECT * FROM gold_from_bronze")
+def run_all_incremental(spark, sf):
+    lake, published = new_folder(spark, "lake"), new_folder(spark, "published")
+    read_at, messages = F.col("kafka_timestamp") + F.expr("INTERVAL 90 MINUTES"), I.messages(spark, sf)
+    for third in (0, 1, 2, 2):  # the last one repeats
+        changes.run_changes(spark, messages.where(F.col("offset") % 3 == third), lake, published, processed_at=read_at, gold_at=gold_time())
+    return plain(spark.read.parquet(published), *GOLD_ROUND)
+
+
 @query("run_all", "SELECT * FROM gold_from_bronze")
 def run_all(spark, sf):
     lake, published = new_folder(spark, "lake"), new_folder(spark, "published")

@@ -217,8 +217,8 @@ def _surely_resolves(df: DataFrame, check: Check) -> bool:
     return check.kind == "not_null" or (check.kind in ("between", "greater") and numeric)
 
 
-def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
-    """One row per check, from one pass over ``df``; only the columns the checks name are read."""
+def _planned(df: DataFrame, suite: Suite) -> tuple[list[Column], list[Column]]:
+    """The aggregates that a suite needs, all of them counts, and one result row per check over their names."""
     aggregates: list[Column] = [F.count(F.lit(1)).alias("records")]
     rows: list[Column] = []
     like = df.sparkSession.createDataFrame([], df.schema)
@@ -248,12 +248,39 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
                 detail.alias("detail"),
             )
         )
+    return aggregates, rows
+
+
+def _reported(measured: DataFrame, rows: list[Column]) -> DataFrame:
     if not rows:
-        return df.sparkSession.createDataFrame([], RESULT)
-    measured = df.agg(*aggregates)
+        return measured.sparkSession.createDataFrame([], RESULT)
     return measured.select(F.explode(F.array(*rows)).alias("r"), "records").select("r.*", "records")
 
 
+def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
+    """One row per check, from one pass over ``df``; only the columns the checks name are read."""
+    aggregates, rows = _planned(df, suite)
+    return _reported(df.agg(*aggregates), rows)
+
+
+def suite_counters(df: DataFrame, suite: Suite, by: Sequence[str] = C.DATE_PARTS) -> DataFrame:
+    """What a suite counts, per part of the data: ``by``, ``records`` and the counters of the checks.
+
+    All of them are counts, so those of several parts add up to those of the whole (:func:`merged_suite`), and only
+    parts that changed have to be counted again.
+    """
+    aggregates, _ = _planned(df, suite)
+    return df.groupBy(*by).agg(*aggregates)
+
+
+def merged_suite(counters: DataFrame, suite: Suite, like: DataFrame) -> DataFrame:
+    """The results of ``run_suite`` over the whole, from the counters of its parts. ``like`` has the columns of the data;
+    no row of it is read."""
+    aggregates, rows = _planned(like, suite)
+    names = like.limit(0).agg(*aggregates).columns
+    return _reported(counters.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]), rows)
+
+
 def unexpected_rows(df: DataFrame, suite: Suite, shown: int = 5) -> DataFrame:
     """The first few unexpected values of each value-set check, with the check's number in the suite.
 

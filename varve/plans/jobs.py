@@ -16,6 +16,7 @@ from ..operators import gold as G
 from ..operators import quality as Q
 from ..operators import silver as S
 from ..sinks.files import check_apart, publish_if_valid, write_partitioned
+from ..sinks.swap import replace as swap
 from ..sources.files import is_missing, read_table
 
 
@@ -41,7 +42,10 @@ def _write_observed(silver: DataFrame, path: str, fmt: str, replace: str) -> Pro
     started = time.monotonic()
     seen = Observation()
     metrics = [column.alias(name) for name, column in S.quality_metrics(silver).items()]
-    write_partitioned(silver, path, fmt=fmt, replace=replace, observed=(seen, metrics))
+    if fmt == "parquet":  # other table formats replace as a transaction of their own
+        swap(silver, path, partitions=replace == "partitions", observed=(seen, metrics))
+    else:
+        write_partitioned(silver, path, fmt=fmt, replace=replace, observed=(seen, metrics))
     found = seen.get
     total = found["total_records"]
     return ProcessingResult(
@@ -73,18 +77,21 @@ class LayerFailed(RuntimeError):
 MESSAGE_KEYS = ("data_source", "kafka_partition", "kafka_offset", "kafka_timestamp")
 
 
+def not_among(rows: DataFrame, old: DataFrame, keys: Sequence[str] = MESSAGE_KEYS) -> DataFrame:
+    """Rows of messages that ``old`` has not got. Rows without an offset cannot be told apart and are always new."""
+    return rows.join(old.select(*keys).distinct(), list(keys), "left_anti").select(*rows.columns)
+
+
 def append_bronze(rows: DataFrame, path: str, keys: Sequence[str] = MESSAGE_KEYS) -> None:
     """Add rows to the bronze table, except those of messages that it has already, so that a repeated run adds nothing.
 
-    Of the table only files that reach into the range of the new offsets are read. Rows without an offset cannot be
-    told apart and are always added.
+    Of the table only files that reach into the range of the new offsets are read.
     """
     spark = rows.sparkSession
     old = _read_or_none(spark, path, "parquet")
     if old is not None:
         low, high = rows.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
-        old = old.where(F.col("kafka_offset").between(low, high)) if low is not None else old.where("false")
-        rows = rows.join(old.select(*keys).distinct(), list(keys), "left_anti").select(*rows.columns)
+        rows = not_among(rows, old.where(F.col("kafka_offset").between(low, high)) if low is not None else old.where("false"), keys)
     write_partitioned(rows, path, replace="nothing")
 
 
@@ -126,7 +133,7 @@ def gold_job(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "
     silver = read_table(spark, silver_path, fmt)
     if silver.isEmpty():
         raise LayerFailed("gold: silver has no data")
-    write_partitioned(G.weather_metrics(silver, processed_at, ordered=False), gold_path, compression="snappy")
+    swap(G.weather_metrics(silver, processed_at, ordered=False), gold_path, compression="snappy")
 
 
 def validate(spark: SparkSession, path: str, suite: Q.Suite = Q.GOLD_SUITE, pass_percent: float = C.GOLD_PASS_PERCENT) -> DataFrame:

@@ -105,12 +105,17 @@ def copy_parquet(spark: SparkSession, source: str, destination: str, cols: Seque
 
 
 def publish_if_valid(df: DataFrame, report: DataFrame, destination: str, source: str | None = None, cols: Sequence[str] = C.DATE_PARTS) -> bool:
-    """Write the published copy only when the one-row report says success."""
+    """Write the published copy only when the one-row report says success.
+
+    The copy before it stays until the new one is written and counted, see :mod:`varve.sinks.swap`.
+    """
+    from .swap import replace  # which writes by this module's functions
+
     if source:
         check_apart(source, destination)
     if not report.select("success").first()[0]:
         return False
-    write_partitioned(df, destination, cols, compression="snappy")
+    replace(df, destination, cols, compression="snappy")
     return True
 
 
