@@ -272,3 +272,11 @@ def test_features_of_odd_texts():
     for text in (None, "", " ", "\n\n", "a", "é" * 50_000, "\ud7ff!|#"):
         x = quality_gam.text_features(text)
         assert len(x) == len(quality_gam.FEATURES) and np.isfinite(x).all()
+
+
+def test_urls_of_very_many_segments(spark):
+    long = "http://long.org/" + "/".join(f"a{chr(97 + i % 26)}" for i in range(20_000))
+    rows = [(1, long), (2, long + "x"), (3, "http://long.org/aa"), (4, None)] + [(10 + i, f"http://long.org/aa/p{chr(97 + i)}") for i in range(20)]
+    out = {r.page_id: r for r in judge_urls(spark.createDataFrame(rows, "page_id long, url string"), {"long.org/aa": "block"}).collect()}
+    assert len(out) == len(rows) and out[1].path == long[len("http://long.org") :] and out[1].template.count("/") == 20_000
+    assert {out[i].verdict for i in (1, 2, 3)} == {"block"} and out[4].verdict in ("allow", "block") and out[10].rule == "long.org/aa"

@@ -9,7 +9,7 @@ towards its host's and that towards the share of all, reaches one half. Labels a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import cut
@@ -18,6 +18,7 @@ LEAST_SHARE, LEAST_COUNT = 0.02, 3  # of its parent's URLs, for a branch to be a
 SIGNIFICANT = 1.96
 STRENGTH = 4.0  # labelled URLs that a parent's share counts as
 REJECT = 0.5
+SEEDS = (1, 2)  # of the two halves of 128-bit hashes
 
 
 def url_host(url: Column) -> Column:
@@ -57,36 +58,44 @@ def judge_urls(pages: DataFrame, rules: dict[str, str], *, id_column: str = "pag
     nothing is rejected. Further columns are ignored.
 
     Hosts, branches and templates are aggregated with partial forms, and joined to distinct shaped paths, not to pages.
+    A prefix of a path is known by 128 bits that run along its segments, so what a path takes grows with its length only,
+    also where it has very many segments.
     """
     url = F.col(f"`{url_column}`").cast("string")
     plain = pages.select(F.col(f"`{id_column}`").alias("page_id"), url_host(url).alias("host"), url_path(url).alias("path"))
     plain = plain.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("segments", shaped(F.col("path")))
+    shape = F.struct(*(F.xxhash64(F.lit(seed), F.col("host"), F.array_join("segments", "/")).alias(f"s{seed}") for seed in SEEDS))
+    plain = plain.withColumn("leaf", shape)
     blocked = F.col("rule").isin([r for r, v in rules.items() if v == "block"])
     counts = (F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("bad").alias("bad"))
-    leaves = plain.groupBy("host", "segments").agg(F.count("*").alias("n"), F.count("rule").alias("known"), F.count_if(blocked).alias("bad"))
+    leaves = plain.groupBy("host", "leaf", "segments").agg(F.count("*").alias("n"), F.count("rule").alias("known"), F.count_if(blocked).alias("bad"))
     leaves = cut(leaves, "leaves")
-    steps = F.transform(F.sequence(F.lit(1), F.size("segments")), lambda i: F.struct(i.alias("level"), F.array_join(F.slice("segments", F.lit(1), i - 1), "/").alias("parent"), F.element_at("segments", i).alias("step")))
-    walks = leaves.select("host", "segments", "n", "known", "bad", F.explode(steps).alias("s")).select("host", "segments", "n", "known", "bad", "s.*")
-    branches = walks.groupBy("host", "level", "parent", "step").agg(*counts)
-    parents = walks.groupBy("host", "level", "parent").agg(F.sum("n").alias("all_n"), F.sum("known").alias("all_known"), F.sum("bad").alias("all_bad"))
+    walks = leaves.select("host", "leaf", "n", "known", "bad", F.posexplode("segments").alias("level", "step"))
+    before = Window.partitionBy("leaf").orderBy("level").rowsBetween(Window.unboundedPreceding, -1)
+    # Exclusive or of hashes that each hold their place: the same for the same steps in the same places only.
+    walks = walks.withColumns({f"p{seed}": F.coalesce(F.bit_xor(F.xxhash64(F.lit(seed), F.col("level"), F.col("step"))).over(before), F.lit(0)) for seed in SEEDS})
+    prefix = ["host", "level", *(f"p{seed}" for seed in SEEDS)]
+    walks = cut(walks, "walks")
+    branches = walks.groupBy(*prefix, "step").agg(*counts)
+    parents = walks.groupBy(*prefix).agg(F.sum("n").alias("all_n"), F.sum("known").alias("all_known"), F.sum("bad").alias("all_bad"))
     p = (F.col("all_bad") + 0.5) / (F.col("all_known") + 1)
     score = F.abs(F.col("bad") - F.col("known") * p) / F.sqrt(F.col("known") * p * (1 - p))
     variable = (F.col("n") < LEAST_COUNT) | (F.col("n") < LEAST_SHARE * F.col("all_n"))
     alike = (F.col("known") == 0) | (score < SIGNIFICANT)
     # A parent with one branch keeps it: there is nothing to merge it with.
     name = F.when(F.col("n") == F.col("all_n"), F.col("step")).when(variable, F.lit("*")).when(alike, F.lit("(alike)")).otherwise(F.col("step"))
-    named = cut(branches.join(parents, ["host", "level", "parent"]).select("host", "level", "parent", "step", name.alias("name")), "branches")
-    renamed = walks.select("host", "segments", "level", "parent", "step").join(named, ["host", "level", "parent", "step"])
-    names = renamed.groupBy("host", "segments").agg(F.sort_array(F.collect_list(F.struct("level", "name"))).alias("names"))
+    named = cut(branches.join(parents, prefix).select(*prefix, "step", name.alias("name")), "branches")
+    renamed = walks.select("leaf", *prefix, "step").join(named, [*prefix, "step"])
+    names = renamed.groupBy("leaf").agg(F.sort_array(F.collect_list(F.struct("level", "name"))).alias("names"))
     template = F.array_join(F.transform("names", lambda x: x["name"]), "/")
-    paths = cut(leaves.join(names.select("host", "segments", template.alias("template")), ["host", "segments"]), "templates")
+    paths = cut(leaves.drop("segments").join(names.select("leaf", template.alias("template")), "leaf"), "templates")
     hosts = paths.groupBy("host").agg(F.sum("known").alias("host_known"), F.sum("bad").alias("host_bad"))
     total = paths.agg(F.sum("known"), F.sum("bad")).first()
     all_share = (total[1] or 0) / total[0] if total[0] else 0.0
     host_share = (F.col("host_bad") + STRENGTH * F.lit(all_share)) / (F.col("host_known") + STRENGTH)
     judged = paths.groupBy("host", "template").agg(*counts).join(hosts, "host").select("host", "template", ((F.col("bad") + STRENGTH * host_share) / (F.col("known") + STRENGTH)).alias("share"))
-    known = cut(paths.select("host", "segments", "template").join(judged, ["host", "template"]), "judged")
-    out = plain.join(known, ["host", "segments"], "left")
+    known = cut(paths.select("host", "leaf", "template").join(judged, ["host", "template"]).drop("host"), "judged")
+    out = plain.join(known, "leaf", "left")
     by_rule = F.when(F.col("rule").isNotNull(), F.when(blocked, F.lit("block")).otherwise(F.lit("allow")))
     verdict = F.coalesce(by_rule, F.when(F.col("share") >= REJECT, F.lit("block")).otherwise(F.lit("allow")))
     return out.select(F.col("page_id").alias(id_column), "host", "path", "rule", verdict.alias("verdict"), "template", "share")
