@@ -45,9 +45,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced in the text."""
-    found = secret_scan.scan(docs, secret_scan.train(docs), spans_column="_spans")
-    text = secret_scan.masked(F.col("text"), F.col("_spans"))
-    changed = F.size("_spans") > 0
+    spans = "_spans"
+    while spans in docs.columns:
+        spans += "_"
+    found = secret_scan.scan(docs, secret_scan.train(docs), spans_column=spans)
+    text = secret_scan.masked(F.col("text"), F.col(spans))
+    changed = F.size(spans) > 0
     values = {"text": text} | ({"n_chars": F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {})
     return found.select(*(values.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
 

@@ -29,43 +29,91 @@ THRESHOLD = 12.0  # natural log of the likelihood ratio of a token or a part of
 MASK = "[SECRET]"
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, step=lambda a, b: a + b) -> Column:
+    """What ``step`` makes of each value and all before it, for an array of integers: sums, or with ``greatest`` maxima.
+
+    The array is walked in blocks of about the square root of its size, and the blocks' last values once more, so that a
+    text of very many matches is not copied at each of them.
+    """
+    none = F.expr("cast(array() as array<int>)")
+
+    def plain(a: Column) -> Column:
+        begin = F.struct(F.lit(None).cast("int").alias("at"), none.alias("out"))
+
+        def one(s: Column, x: Column) -> Column:
+            now = F.coalesce(step(s["at"], x), x)
+            return F.struct(now.alias("at"), F.concat(s["out"], F.array(now)).alias("out"))
+
+        return F.aggregate(a, begin, one, lambda s: s["out"])
+
+    def blocks(a: Column) -> Column:
+        size = F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(a))).cast("int"))
+        last = F.floor((F.size(a) - 1) / size).cast("int")
+        return _let(size, lambda n: F.transform(F.sequence(F.lit(0), last), lambda k: plain(F.slice(a, k * n + 1, n))))
+
+    def joined(inner: Column) -> Column:
+        before = F.concat(F.array(F.lit(None).cast("int")), plain(F.transform(inner, lambda x: F.element_at(x, -1))))
+        return F.flatten(F.zip_with(inner, F.slice(before, 1, F.size(inner)), lambda a, o: F.transform(a, lambda x: F.coalesce(step(o, x), x))))
+
+    return _let(values, lambda a: F.when(F.size(a) > 0, _let(blocks(a), joined)).otherwise(none))
+
+
+SPAN = "array<struct<start:int,end:int,secret:string,from:int,to:int>>"
+
+
 def located(text: Column, pattern: str, group: int) -> Column:
-    """``array<struct<start, end, secret>>`` of the leftmost non-overlapping matches, in code points from 0.
+    """``array<struct<start, end, secret, from, to>>`` of the leftmost non-overlapping matches, from 0.
 
-    The text between matches gives the places: start and end are running sums of the lengths of gaps and matches.
+    The text between matches gives the places, as running sums of lengths: ``start`` and ``end`` in code points, ``from``
+    and ``to`` in bytes of UTF-8.
     """
     p = F.lit(pattern)
-    parts = F.struct(F.regexp_extract_all(text, p, F.lit(0)).alias("hits"), F.regexp_extract_all(text, p, F.lit(group)).alias("secrets"), F.split(text, pattern, -1).alias("gaps"))
-    none = F.expr("cast(array() as array<struct<start:int,end:int,secret:string>>)")
+    none = F.expr(f"cast(array() as {SPAN})")
+
+    def parts(hits: Column, secrets: Column) -> Column:
+        gaps = F.split(text, pattern, -1)
+        return F.struct(hits.alias("hits"), secrets.alias("secrets"), F.slice(gaps, 1, F.size(hits)).alias("gaps"))
 
-    def step(parts: Column, state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(parts["gaps"][i])
-        end = start + F.length(parts["hits"][i])
-        found = F.struct(start.alias("start"), end.alias("end"), parts["secrets"][i].alias("secret"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(found)).alias("out"))
+    def walk(x: Column) -> Column:
+        def ends(length) -> Column:
+            return running(F.zip_with(x["gaps"], x["hits"], lambda g, h: length(g) + length(h)))
 
-    def walk(parts: Column) -> Column:
-        begin = F.struct(F.lit(0).alias("at"), none.alias("out"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(parts["hits"]) - 1), begin, lambda s, i: step(parts, s, i), lambda s: s["out"])
+        def spans(to: Column) -> Column:
+            def at(i: Column) -> Column:
+                hit = x["hits"][i]
+                end, stop = to["chars"][i], to["bytes"][i]
+                return F.struct((end - F.length(hit)).alias("start"), end.alias("end"), x["secrets"][i].alias("secret"), (stop - F.octet_length(hit)).alias("from"), stop.alias("to"))
+
+            return F.transform(F.sequence(F.lit(0), F.size(x["hits"]) - 1), at)
+
+        return _let(F.struct(ends(F.length).alias("chars"), ends(F.octet_length).alias("bytes")), spans)
+
+    def some(x: Column) -> Column:
+        return F.when(F.size(x["hits"]) > 0, walk(x)).otherwise(none)
 
     if group == 0:  # matches are looked for once
+        return _let(F.regexp_extract_all(text, p, F.lit(0)), lambda hits: F.when(F.size(hits) > 0, _let(parts(hits, hits), some)).otherwise(none))
+    found = parts(F.regexp_extract_all(text, p, F.lit(0)), F.regexp_extract_all(text, p, F.lit(group)))
+    return F.when(text.rlike(pattern), _let(found, some)).otherwise(none)
 
-        def whole(hits: Column) -> Column:
-            parts = F.struct(hits.alias("hits"), hits.alias("secrets"), F.split(text, pattern, -1).alias("gaps"))
-            return F.when(F.size(hits) > 0, F.transform(F.array(parts), walk)[0]).otherwise(none)
 
-        return F.transform(F.array(F.regexp_extract_all(text, p, F.lit(0))), whole)[0]
-    return F.when(text.rlike(pattern), F.transform(F.array(parts), walk)[0]).otherwise(none)
+def span(start: Column, rank: int, end: Column, kind: str, secret: Column, from_: Column, to: Column) -> Column:
+    return F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), secret.alias("secret"), from_.alias("from"), to.alias("to"))
 
 
 def base_spans(text: Column) -> Column:
-    """``array<struct<start, rank, end, kind, secret>>`` of the fixed patterns, by start and then by kind."""
+    """``array<struct<start, rank, end, kind, secret, from, to>>`` of the fixed patterns, by start and then by kind."""
 
     def of(rank: int, kind: str, pattern: str, group: int) -> Column:
         found = located(text, pattern, group)
         if kind == "assign":
             found = F.filter(found, lambda s: F.length(s["secret"]) >= LEAST_SECRET)
-        return F.transform(found, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), F.lit(kind).alias("kind"), s["secret"].alias("secret")))
+        return F.transform(found, lambda s: span(s["start"], rank, s["end"], kind, s["secret"], s["from"], s["to"]))
 
     return F.sort_array(F.concat(*(of(i, *k) for i, k in enumerate(KINDS))))
 
@@ -191,25 +239,39 @@ def random_parts(token: Column, model: Model, threshold: float) -> Column:
     return F.transform(F.array(ratios(token, model)), parts)[0]
 
 
-def blanked(text: Column, spans: Column) -> Column:
-    """The text with spaces in place of every character of a span."""
+def _pieced(text: Column, spans: Column, instead) -> Column:
+    """The text with ``instead(span, at)`` in place of each span and of nothing else; ``at`` is how far earlier spans reach.
 
-    def step(s: Column, x: Column) -> Column:
-        to = F.greatest(s["at"], x["end"])
-        gap = F.substring(text, s["at"] + 1, F.greatest(F.lit(0), x["start"] - s["at"]))
-        return F.struct(to.alias("at"), F.concat(s["out"], gap, F.repeat(F.lit(" "), to - F.greatest(s["at"], x["start"]))).alias("out"))
+    Pieces are cut from the bytes of the text, where a place is found without a walk over what is before it.
+    """
+
+    def done(x: Column) -> Column:
+        def piece(s: Column, at: Column) -> Column:
+            gap = F.substring(x["bytes"], at + 1, F.greatest(F.lit(0), s["from"] - at)).cast("string")
+            return F.concat(gap, instead(s, at))
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(spans, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+        before = F.slice(F.concat(F.array(F.lit(0)), x["reach"]), 1, F.size(x["reach"]))
+        rest = F.substring(x["bytes"], F.element_at(x["reach"], -1) + 1, F.octet_length(x["bytes"])).cast("string")
+        return F.concat(F.array_join(F.zip_with(x["spans"], before, piece), ""), rest)
+
+    reach = running(F.transform(spans, lambda s: s["to"]), F.greatest)
+    held = F.struct(text.cast("binary").alias("bytes"), spans.alias("spans"), reach.alias("reach"))
+    return F.when(F.size(spans) > 0, _let(held, done)).otherwise(text)
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with spaces in place of every character of a span; the fixed patterns match ASCII only."""
+    return _pieced(text, spans, lambda s, at: F.repeat(F.lit(" "), F.greatest(F.lit(0), s["to"] - F.greatest(at, s["from"]))))
 
 
 def scan(docs: DataFrame, model: Model, text_column: str = "text", spans_column: str = "spans", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``spans``: ``array<struct<start, rank, end, kind, secret>>`` by start, then kind; ends exclusive.
+    """``docs`` with ``spans``: ``array<struct<start, rank, end, kind, secret, from, to>>`` by start, then kind; ends exclusive,
+    ``start`` and ``end`` in code points, ``from`` and ``to`` in bytes.
 
     Kinds are ``assign``, ``access`` and ``hex`` by pattern, and ``random`` for what outside of those, of any length, has
     a likelihood ratio that reaches ``threshold``: tokens, and parts of tokens. Null and empty texts have none. Rows
-    are judged each by itself, so repeated rows give repeated results. A column that already has the name of
+    are judged each by itself, so repeated rows give repeated results. Time grows with the length of a text, and with its
+    matches to the power 1.5. A column that already has the name of
     ``spans_column`` is replaced.
     """
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
@@ -218,11 +280,12 @@ def scan(docs: DataFrame, model: Model, text_column: str = "text", spans_column:
         return docs.withColumn(spans_column, base_spans(text))
 
     def random(t: Column) -> Column:
-        def span(p: Column) -> Column:
-            secret = F.substring(t["secret"], p["start"] + 1, p["end"] - p["start"])
-            return F.struct((t["start"] + p["start"]).alias("start"), F.lit(len(KINDS)).alias("rank"), (t["start"] + p["end"]).alias("end"), F.lit("random").alias("kind"), secret.alias("secret"))
+        def found(p: Column) -> Column:
+            size, start = p["end"] - p["start"], t["start"] + p["start"]
+            begin = t["from"] + p["start"]  # tokens are ASCII
+            return span(start, len(KINDS), start + size, "random", F.substring(t["secret"], p["start"] + 1, size), begin, begin + size)
 
-        return F.transform(random_parts(t["secret"], model, threshold), span)
+        return F.transform(random_parts(t["secret"], model, threshold), found)
 
     def merged(base: Column) -> Column:
         tokens = F.transform(F.array(blanked(text, base)), lambda rest: located(rest, pattern, 0))[0]
@@ -238,11 +301,4 @@ def listed(spans: Column) -> Column:
 
 def masked(text: Column, spans: Column, mask: str = MASK) -> Column:
     """The text with every span, and every run of overlapping spans, replaced by ``mask``."""
-
-    def step(s: Column, x: Column) -> Column:
-        gap = F.when(x["start"] >= s["at"], F.concat(F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(mask))).otherwise(F.lit(""))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.concat(s["out"], gap).alias("out"))
-
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(spans, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    return _pieced(text, spans, lambda s, at: F.when(s["from"] >= at, F.lit(mask)).otherwise(F.lit("")))
