@@ -242,3 +242,36 @@ def test_unsplit_text_is_encoded_by_halves():
 
 def test_registered_decontamination_has_sql():
     assert "op3_benchmark_decontamination" in ORACLES and set(ORACLES) <= set(QUERIES)
+
+
+def test_texts_of_very_many_secrets(spark):
+    rng = random.Random(8)
+    secrets = ["".join(rng.choices("abcdefXYZ0123456789", k=12)) for _ in range(20_000)]
+    text = " ".join(f"é token: {x}" for x in secrets)
+    model = secret_scan.train(spark.createDataFrame([(1, "plain words only")], "doc_id long, text string"))
+    out = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), model)
+    row = out.select(secret_scan.listed(F.col("spans")).alias("spans"), secret_scan.masked(F.col("text"), F.col("spans")).alias("masked")).first()
+    assert row.masked == " ".join("é [SECRET]" for _ in secrets)
+    places, at = [], 0
+    for x in secrets:
+        places.append(f"assign:{at + 2}:{at + 9 + len(x)}")
+        at += 10 + len(x)
+    assert row.spans == ",".join(places)
+
+
+def test_running_sums_and_maxima(spark):
+    values = [[], [5], list(range(40)), [3, 1, 4, 1, 5, 9, 2, 6] * 100]
+    df = spark.createDataFrame([(v,) for v in values], "v array<int>")
+    found = df.select("v", secret_scan.running(F.col("v")).alias("s"), secret_scan.running(F.col("v"), F.greatest).alias("m")).collect()
+    for r in found:
+        assert r.s == np.cumsum(np.array(r.v, dtype=int)).tolist() and r.m == (np.maximum.accumulate(r.v).tolist() if r.v else [])
+
+
+def test_masking_counts_what_it_returns(spark, sf):
+    import corpus_pipeline
+
+    rows = [(1, "é password = abcdefgh1234 x token: zyxwvu9876", "en", "s", 5, "mine"), (2, "nothing", "en", "s", 7, "mine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _spans string")
+    out = {r.doc_id: r for r in corpus_pipeline.mask_secrets(spark, docs, sf).collect()}
+    assert out[1].text == "é [SECRET] x [SECRET]" and out[1].n_chars == len(out[1].text) and out[1]["_spans"] == "mine"
+    assert tuple(out[2]) == rows[1]
