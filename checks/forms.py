@@ -1,6 +1,6 @@
 """Time plain forms of a job against the forms used here.
 
-``python -m checks.forms [sf_dir]``
+``python -m checks.forms [sf_dir [first words of a pair …]]``
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from varve.functions import cleaning as K
 from varve.functions import market as M
-from varve.operators import dedup, gold, quality, silver
+from varve.operators import dedup, gold, market, quality, silver
 from varve.operators.series import rolling
 from varve.plans import jobs
 from varve.session import get_session
@@ -42,6 +42,15 @@ def priced(spark, sf_dir: str) -> DataFrame:
     return lines.select((F.col("l_suppkey") % 6).alias("k"), key.alias("at"), F.col("l_extendedprice").alias("price"))
 
 
+def short_bars(spark, sf_dir: str) -> DataFrame:
+    """Every line as a bar of one of very many short series."""
+    lines = I.table(spark, sf_dir, "lineitem")
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    at = F.timestamp_add("SECOND", (F.col("l_orderkey") % 86_400).cast("int"), F.col("l_shipdate").cast("timestamp"))
+    prices = [price.alias(c) for c in ("open", "high", "low", "close")]
+    return lines.select((F.col("l_partkey") % 5_000).cast("string").alias("symbol"), at.alias("at"), *prices, F.col("l_quantity").alias("volume"))
+
+
 def rolled(points: DataFrame, blocks: bool) -> DataFrame:
     w = Window.partitionBy("k").orderBy("at")
     if blocks:
@@ -70,6 +79,9 @@ def main() -> None:
     write_partitioned(silver.silver(readings), table)
     rows = spark.read.parquet(table).select(*silver.schemas.SILVER.names)
     points = priced(spark, sf_dir)
+    many = new_folder(spark, "many")
+    short_bars(spark, sf_dir).repartition(32).write.parquet(many)
+    bars = spark.read.parquet(many)
     cleaned = silver.clean(readings, K.clean_timestamp("timestamp", "processing_timestamp"))
 
     pairs = {
@@ -89,12 +101,23 @@ def main() -> None:
             lambda: throw_away(rolled(points, False)),
             lambda: throw_away(rolled(points, True)),
         ),
+        "market features of many short symbols: stated to be short / told by a count": (
+            lambda: throw_away(market.market_features(bars, ts="at", long=False)),
+            lambda: throw_away(market.market_features(bars, ts="at", rows_per_task=1_000)),
+        ),
+        "market features of many short symbols: all cut / told by a count": (
+            lambda: throw_away(market.market_features(bars, ts="at", rows_per_task=1_000, long=True)),
+            lambda: throw_away(market.market_features(bars, ts="at", rows_per_task=1_000)),
+        ),
         "dedup: whole-row aggregate / ranked window": (
             lambda: throw_away(dedup.keep_latest_by_aggregate(cleaned)),
             lambda: throw_away(dedup.keep_latest(cleaned)),
         ),
     }
+    wanted = sys.argv[2:]
     for name, forms in pairs.items():
+        if wanted and not any(name.startswith(w) for w in wanted):
+            continue
         best = []
         for form in forms:
             times = []

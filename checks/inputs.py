@@ -142,6 +142,21 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@staged("mixed_bars")
+def mixed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of one symbol with its whole series, and of many whose series end with each year."""
+    short = F.concat("symbol", F.lit("-"), F.year("trading_date").cast("string"))
+    return bars(spark, sf_dir).withColumn("symbol", F.when(F.col("symbol") == "S0", F.col("symbol")).otherwise(short))
+
+
+@staged("tied_readings")
+def tied_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows of which a third share one processing time."""
+    at = F.lit("2024-01-10 12:00:00").cast(dict(table(spark, sf_dir, "events").dtypes)["ts"])
+    time = F.when(F.col("kafka_offset") % 3 == 0, at).otherwise(F.col("processing_timestamp"))
+    return readings(spark, sf_dir).withColumn("processing_timestamp", time)
+
+
 def _by_customer_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return orders.groupBy(

@@ -96,9 +96,8 @@ VIEWS["latest_day"] = _latest("cleaned_day")
 VIEWS["silver_day"] = _scored("latest_day")
 VIEWS["latest_exact"] = _latest("cleaned_exact")
 VIEWS["silver_exact"] = _scored("latest_exact")
-VIEWS["cleaned_cast"] = _cleaned(
-    "CASE WHEN timestamp IS NULL THEN processing_timestamp ELSE TRY_CAST(timestamp AS TIMESTAMP) END", "city"
-)
+_CAST = "CASE WHEN timestamp IS NULL THEN processing_timestamp ELSE TRY_CAST(timestamp AS TIMESTAMP) END"
+VIEWS["cleaned_cast"] = _cleaned(_CAST, "city")
 VIEWS["latest_cast"] = _latest("cleaned_cast")
 VIEWS["completeness"] = """
 SELECT kafka_offset,
@@ -106,15 +105,28 @@ SELECT kafka_offset,
             ELSE 1.0::DOUBLE END AS quality_score,
        temperature IS NOT NULL AND humidity IS NOT NULL AND pressure IS NOT NULL AND wind_speed IS NOT NULL AS is_valid
 FROM readings"""
-VIEWS["silver_strict"] = """
+
+
+def _strict(source: str) -> str:
+    return f"""
 SELECT temperature, wind_speed, city, timestamp, humidity, pressure, visibility, processing_timestamp, hour, minute,
        data_source, year, month, day, 1.0::DOUBLE AS quality_score, true AS is_valid,
        kafka_offset, kafka_partition, kafka_timestamp
-FROM latest_cast
+FROM {source}
 WHERE temperature IS NOT NULL AND humidity IS NOT NULL AND pressure IS NOT NULL AND wind_text IS NOT NULL
   AND temperature BETWEEN -90 AND 60 AND humidity BETWEEN 0 AND 100 AND pressure BETWEEN 800 AND 1100
   AND wind_speed >= 0 AND visibility >= 0"""
 
+
+VIEWS["silver_strict"] = _strict("latest_cast")
+# A third of the readings share one processing time.
+VIEWS["readings_tied"] = """
+SELECT * REPLACE (CASE WHEN kafka_offset % 3 = 0 THEN TIMESTAMP '2024-01-10 12:00:00' ELSE processing_timestamp END AS processing_timestamp)
+FROM readings"""
+VIEWS["cleaned_tied"] = _cleaned(_CAST, "city", "readings_tied")
+VIEWS["latest_tied"] = _latest("cleaned_tied")
+VIEWS["strict_tied"] = _strict("latest_tied")
+
 _USABLE = {
     "temperature": "temperature <> 0",
     "humidity": "humidity > 0",
@@ -234,6 +246,13 @@ FROM (SELECT symbol, trading_date, TRY_CAST(rsi AS DOUBLE) AS rsi, TRY_CAST(macd
              TRY_CAST(macd_signal AS DOUBLE) AS macd_signal, TRY_CAST(macd_hist AS DOUBLE) AS macd_hist FROM indicators)"""
 VIEWS["market"] = """
 SELECT * FROM regimes LEFT JOIN sentiment USING (symbol, trading_date) LEFT JOIN signals USING (symbol, trading_date)"""
+# One symbol keeps its whole series; those of the others end with each year.
+VIEWS["mixed_bars"] = """
+SELECT * REPLACE (CASE WHEN symbol = 'S0' THEN symbol ELSE concat(symbol, '-', year(trading_date)) END AS symbol) FROM bars"""
+for _name, _source in (("bar_steps", "bars"), ("bar_features", "bar_steps"), ("edges", "bar_features")):
+    VIEWS[f"mixed_{_name}"] = VIEWS[_name].replace(f"FROM {_source}", f"FROM mixed_{_source}")
+VIEWS["mixed_regimes"] = VIEWS["regimes"].replace("FROM bar_features b JOIN edges", "FROM mixed_bar_features b JOIN mixed_edges")
+VIEWS["mixed_market"] = VIEWS["market"].replace("FROM regimes", "FROM mixed_regimes")
 
 VIEWS["listing"] = """
 SELECT CASE WHEN event_id % 5 = 0 THEN concat('gold/weather', d, '/part-', event_id, '.parquet')

@@ -249,6 +249,31 @@ def list_datasets(spark, sf):
     return plain(out.withColumn("partition_info", F.array_join(entry, " ")).drop("root_path"))
 
 
+_PAGE = 10
+
+
+@query("value_pages", f"""
+SELECT dataset_name, partition_key, page, string_agg(partition_value, ',' ORDER BY partition_value) AS partition_values,
+       count(*) AS value_count, CAST(sum(files) AS BIGINT) AS files, CAST(sum(size) AS BIGINT) AS size
+FROM (SELECT *, (row_number() OVER (PARTITION BY dataset_name, partition_key ORDER BY partition_value) - 1) // {_PAGE} + 1 AS page FROM part_values)
+GROUP BY dataset_name, partition_key, page""")
+def value_pages(spark, sf):
+    path = new_folder(spark, "values")
+    listing.store_values(I.listing(spark, sf), path)
+    return listing.value_pages(spark, path, _PAGE).withColumn("partition_values", F.array_join("partition_values", ","))
+
+
+@query("list_dataset_counts", """
+SELECT dataset_name, CAST(count(*) AS INTEGER) AS partition_count, CAST(sum(size) AS BIGINT) AS size,
+       (SELECT string_agg(concat(partition_key, '=', n), ' ' ORDER BY partition_key) FROM (
+          SELECT partition_key, count(*) AS n FROM part_values p WHERE p.dataset_name = data_files.dataset_name GROUP BY partition_key)) AS partition_info
+FROM data_files WHERE is_partitioned GROUP BY dataset_name""")
+def list_dataset_counts(spark, sf):
+    out = listing.list_datasets(I.listing(spark, sf), with_values=False).where("is_partitioned")
+    entry = F.transform(F.map_entries("partition_info"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return out.select("dataset_name", "partition_count", "size", F.array_join(entry, " ").alias("partition_info"))
+
+
 @query("list_partitions", """
 SELECT dataset_name, partition_key, string_agg(partition_value, ',' ORDER BY partition_value) AS partition_values,
        count(*) AS value_count, (SELECT count(*) FROM part_values WHERE dataset_name = 'weather') AS total_partitions
@@ -593,6 +618,15 @@ def silver_strict(spark, sf):
     return plain(silver.silver_strict(I.readings(spark, sf), ordered=True))
 
 
+@query("silver_in_order", """
+SELECT kafka_offset, kafka_partition, processing_timestamp,
+       row_number() OVER (ORDER BY processing_timestamp DESC NULLS LAST, kafka_partition NULLS FIRST, kafka_offset NULLS FIRST) AS position FROM strict_tied""")
+def silver_in_order(spark, sf):
+    path = new_folder(spark, "ordered")
+    sinks.write_in_order(silver.silver_strict(I.tied_readings(spark, sf)), path, silver.newest_first())
+    return plain(sources.read_in_order(spark, path).select("kafka_offset", "kafka_partition", "processing_timestamp", "position"))
+
+
 @query("quality_metrics", """
 SELECT count(*) AS total_records, count(*) FILTER (WHERE is_valid) AS valid_records, count(*) FILTER (WHERE NOT is_valid) AS invalid_records,
        round(avg(quality_score) + 1e-10, 6) AS avg_quality_score, min(processing_timestamp) AS earliest_record,
@@ -736,6 +770,13 @@ def market_features_chunked(spark, sf):
     return plain(out, *BAR_ROUND, *SIDE_ROUND)
 
 
+@query("market_features_mixed", f"SELECT {rounded(*BAR_ROUND, *SIDE_ROUND)} FROM mixed_market")
+def market_features_mixed(spark, sf):
+    # Symbols of more than a year are cut, and told by their counts.
+    out = market.market_features(I.mixed_bars(spark, sf), I.feed(spark, sf), I.indicators(spark, sf), TS, rows_per_task=366)
+    return plain(out, *BAR_ROUND, *SIDE_ROUND)
+
+
 @query("parse_money", "SELECT c_custkey, c_acctbal AS amount FROM customer")
 def parse_money(spark, sf):
     text = F.concat(F.lit("$"), F.expr("format_number(c_acctbal, '#,##0.00')"))

@@ -187,6 +187,48 @@ def test_rolling_matches_sliding_frames(spark):
         series.rolling(df, w, {"m": ("v", 7)})
 
 
+def test_only_hot_series_are_cut(spark):
+    rows = [("H", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i) for i in range(90)]
+    rows += [(None, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i) for i in range(40)]
+    rows += [(f"S{i % 20}", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i) for i in range(200)]
+    df = cut(spark.createDataFrame(rows, "k string, ts timestamp, v int").repartition(6))
+
+    def build(d, w):
+        chunked = F.lit("__chunk" in d.columns)
+        return d.withColumns({"before": F.lag("v", 2).over(w), "cut": chunked})
+
+    hot = series.hot_series(df, ["k"], 30)
+    assert {r.k for r in hot.collect()} == {"H", None}
+    assert series.hot_series(df, ["k"], 90) is None
+    plain = {(r.k, r.v): r.before for r in build(df, Window.partitionBy("k").orderBy("ts")).collect()}
+    for long in (hot, None, hot.union(hot)):
+        got = series.over_series(df, ["k"], ["ts"], build, lookback=2, rows_per_task=30, long=long).collect()
+        assert len(got) == len(rows) and {(r.k, r.v): r.before for r in got} == plain
+        assert {r.k for r in got if r.cut} == {"H", None}
+    none = series.over_series(df.where("k like 'S%'"), ["k"], ["ts"], build, lookback=2, rows_per_task=30).collect()
+    assert len(none) == 200 and not any(r.cut for r in none)
+    empty = series.over_series(df.limit(0), ["k"], ["ts"], build, lookback=2, rows_per_task=30, long=hot)
+    assert empty.collect() == []
+
+
+def test_many_hot_keys_are_joined_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(series, "BROADCAST_KEYS", 1)
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("c", 4)], "k string, v int")
+    hot = spark.createDataFrame([("a",), (None,), ("a",)], "k string")
+    inside, outside = series.split_hot(df, hot, ["k"])
+    assert sorted(r.v for r in inside.collect()) == [1, 3] and sorted(r.v for r in outside.collect()) == [2, 4]
+
+
+def test_mixed_symbols_agree_with_the_plain_form(spark, prices):
+    bars = cut(as_frame(spark, prices).repartition(5))
+
+    def out(**kw):
+        return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in market.market_features(bars, **kw).collect()), key=str)
+
+    hot = spark.createDataFrame([("HOT",)], "symbol string")
+    assert out(long=hot, rows_per_task=60) == out(long=False) == out(rows_per_task=131)
+
+
 def test_window_reach_must_fit(spark):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 1))], "k string, ts timestamp")
     with pytest.raises(ValueError):

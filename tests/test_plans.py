@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from checks.registry import new_folder
+from varve import constants as C
 from varve.functions import cleaning as K
-from varve.operators import dedup, gold, market, quality, silver
-from varve.session import cut, get_session, shared_folder
+from varve.operators import dedup, gold, market, quality, series, silver
+from varve.session import cut, get_session, session_with, shared_folder
 from varve.sinks.files import write_partitioned
 
 
@@ -64,6 +65,36 @@ def test_bar_features_and_regimes_share_one_shuffle(tables):
     assert text.count("Exchange") == 1 and text.count("+- Sort [") == 1 and text.count("FileScan") == 1
 
 
+def test_many_short_symbols_keep_the_plain_plan(spark, tables):
+    short = F.concat("symbol", F.lit("-"), F.date_format("trading_date", "yyyyMM"))
+    path = new_folder(spark, "short")
+    tables["bars"].withColumn("symbol", short).write.parquet(path)
+    bars = spark.read.parquet(path)
+    assert series.is_long(bars, 60)  # as a whole; no symbol is
+    text = plan(market.market_features(bars, ts="trading_date", rows_per_task=60))
+    assert text.count("Exchange") == 1 and text.count("+- Sort [") == 1 and text.count("FileScan") == 1
+    assert "__chunk" not in text and "Union" not in text and "Join" not in text
+
+
+def test_hot_symbols_are_told_without_a_shuffle_of_rows(spark, tables):
+    hot = spark.createDataFrame([("S0",)], "symbol string")
+    inside, outside = series.split_hot(tables["bars"], hot, ["symbol"])
+    for text in map(plan, (inside, outside)):
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_one_time_for_a_third_of_all_rows_gives_even_tasks(spark):
+    own = session_with(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"})
+    n = F.col("id")
+    rows = own.range(0, 60_000, 1, 6).select(
+        F.when(n % 3 == 0, 0).otherwise(n).cast("timestamp").alias("processing_timestamp"),
+        (n % 4).cast("int").alias("kafka_partition"), n.alias("kafka_offset"),
+        *[F.lit("x").alias(c) for c in C.DEDUP_KEYS],
+    )
+    sizes = sorted(r["count"] for r in rows.orderBy(*silver.newest_first()).groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+
+
 def test_strict_silver_filters_keys_before_the_window(tables):
     text = plan(silver.silver_strict(tables["bronze"], ordered=False))
     assert text.count("Exchange") == 1

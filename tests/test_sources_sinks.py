@@ -11,6 +11,7 @@ from varve import constants as C
 from varve import schemas
 from varve.operators import nested
 from varve.plans import jobs, registry
+from varve.session import session_with
 from varve.sinks import files as sinks
 from varve.sinks import kafka as kafka_sink
 from varve.sources import files as sources
@@ -253,6 +254,49 @@ def test_listing_of_a_tree(spark, tmp_path):
         listing.list_partitions(files, "../x")
 
 
+def test_order_is_kept_in_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 37)
+    own = session_with(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "12"})
+    path, n = str(tmp_path / "t"), F.col("id")
+    rows = own.range(0, 3_000, 1, 5).select(F.when(n % 3 == 0, 7).otherwise(n % 50).alias("a"), n.alias("b"), F.lit("x").alias("row"))
+    sinks.write_in_order(rows, path, [F.col("a").desc(), "b"])
+    assert len(list((tmp_path / "t").glob("*.parquet"))) > 80  # of 12 tasks
+    got = sources.read_in_order(spark, path).collect()
+    expected = sorted(((7 if i % 3 == 0 else i % 50, i) for i in range(3_000)), key=lambda r: (-r[0], r[1]))
+    assert [(r.a, r.b) for r in sorted(got, key=lambda r: r.position)] == expected
+    assert sorted(r.position for r in got) == list(range(1, 3_001)) and got[0].asDict().keys() == {"a", "b", "row", "position"}
+    with pytest.raises(ValueError):
+        sources.read_in_order(spark, path, "a")
+    sinks.write_in_order(rows.limit(0), path, ["b"])  # overwrites
+    assert sources.read_in_order(spark, path).collect() == []
+
+
+def test_values_come_in_pages(spark, tmp_path):
+    path = str(tmp_path / "values")
+    names = [("gold/hot/key=%04d/part-%d.parquet" % (i, j), 2, None) for i in range(250) for j in range(2)]
+    names += [("gold/hot/key=0001/day=%d/x.parquet" % d, 1, None) for d in (1, 2, 10)] + [("gold/cold/day=1/x.parquet", 5, None), ("raw/plain.csv", 1, None)]
+    files = spark.createDataFrame(names, "path string, size long, modified timestamp").repartition(5)
+    listing.store_values(files, path)
+    pages = {(r.dataset_name, r.partition_key, r.page): r for r in listing.value_pages(spark, path, 100).collect()}
+    assert sorted(pages) == [("cold", "day", 1), ("hot", "day", 1), *[("hot", "key", p) for p in (1, 2, 3)]]
+    values = [v for p in (1, 2, 3) for v in pages["hot", "key", p].partition_values]
+    assert values == ["%04d" % i for i in range(250)] and pages["hot", "key", 3].value_count == 50
+    assert sum(pages["hot", "key", p].size for p in (1, 2, 3)) == 1003 and pages["hot", "day", 1].partition_values == ["1", "10", "2"]
+    after, seen = None, []
+    while some := listing.values_after(spark, path, "hot", "key", after, 90).collect():
+        seen += [r.partition_value for r in some]
+        after = seen[-1]
+    assert seen == values
+    with pytest.raises(ValueError):
+        listing.value_pages(spark, path, 0)
+    with pytest.raises(ValueError):
+        listing.values_after(spark, path, "../x", "key")
+    counts = {r.dataset_name: r.partition_info for r in listing.list_datasets(files, with_values=False).collect()}
+    assert counts == {"hot": {"key": 250, "day": 3}, "cold": {"day": 1}, "plain": None}
+    listing.store_values(files.limit(0), path)
+    assert listing.value_pages(spark, path).collect() == []
+
+
 def test_silver_job_counts_what_it_writes(spark, lake, tmp_path):
     result = jobs.silver_job(spark, lake, str(tmp_path / "silver"))
     written = spark.read.parquet(str(tmp_path / "silver"))

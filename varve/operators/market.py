@@ -12,7 +12,7 @@ from ..functions import market as M
 from ..functions.cleaning import known, parse_money, to_number
 from ..session import cut
 from .quantiles import exact_quantiles, join_null_safe
-from .series import FILLED, ROWS_PER_TASK, is_long, over_series, rolling
+from .series import FILLED, ROWS_PER_TASK, over_series, rolling, split_hot, which_series
 
 PRICES = ("open", "high", "low", "close", "volume")
 # Rows before a row that its features read: the long mean, and the return before the first one of the volatility.
@@ -27,7 +27,7 @@ def numeric_bars(bars: DataFrame) -> DataFrame:
     return bars.withColumns(read) if read else bars
 
 
-def bar_features(bars: DataFrame, ts: str = "ts", rows_per_task: int = ROWS_PER_TASK, long: bool | None = None) -> DataFrame:
+def bar_features(bars: DataFrame, ts: str = "ts", rows_per_task: int = ROWS_PER_TASK, long: bool | DataFrame | None = None) -> DataFrame:
     """Changes, returns, volatility, moving means, volume ratio, momentum and trend per symbol.
 
     All features share one window, so a symbol is shuffled and sorted once.
@@ -58,7 +58,7 @@ def bar_features(bars: DataFrame, ts: str = "ts", rows_per_task: int = ROWS_PER_
     )
 
 
-def sentiment_features(feed: DataFrame, ts: str = "ts", rows_per_task: int = ROWS_PER_TASK, long: bool | None = None) -> DataFrame:
+def sentiment_features(feed: DataFrame, ts: str = "ts", rows_per_task: int = ROWS_PER_TASK, long: bool | DataFrame | None = None) -> DataFrame:
     scored = feed.withColumns(
         {
             "sentiment_score": to_number("overall_sentiment_score"),
@@ -78,7 +78,7 @@ def sentiment_features(feed: DataFrame, ts: str = "ts", rows_per_task: int = ROW
     return over_series(scored, ["symbol"], order, build, lookback=C.SENTIMENT_ROWS, rows_per_task=rows_per_task, long=long)
 
 
-def indicator_features(indicators: DataFrame, ts: str = "ts", rows_per_task: int = ROWS_PER_TASK, long: bool | None = None) -> DataFrame:
+def indicator_features(indicators: DataFrame, ts: str = "ts", rows_per_task: int = ROWS_PER_TASK, long: bool | DataFrame | None = None) -> DataFrame:
     numbers = indicators.withColumns({c: to_number(c) for c in ("rsi", "macd", "macd_signal", "macd_hist")})
 
     def build(df: DataFrame, w) -> DataFrame:
@@ -96,15 +96,24 @@ def combine_features(bars: DataFrame, sentiment: DataFrame | None, indicators: D
     return out
 
 
-def volatility_regime(df: DataFrame, value: str = "volatility", keys: tuple[str, ...] = ("symbol",), long: bool | None = None) -> DataFrame:
+def volatility_regime(
+    df: DataFrame,
+    value: str = "volatility",
+    keys: tuple[str, ...] = ("symbol",),
+    long: bool | DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
     """Add ``volatility_regime``: thirds of the values of each symbol, with exact edges.
 
     Not-a-number counts as missing, and the column says null for it. Short symbols get their edges from one window.
-    With long ones the input is written once to the shared folder, and the edges, one row per symbol, are found by
-    counting and joined back: broadcast where they are small, else with hot symbols split at run time.
+    Long ones are written once to the shared folder, and their edges, one row per symbol, are found by
+    counting and joined back: broadcast where they are small, else with hot symbols split at run time. ``long`` is
+    that of :func:`varve.operators.series.over_series`.
     """
-    if long is None:
-        long = is_long(df)
+    long = which_series(df, keys, rows_per_task, long)
+    if isinstance(long, DataFrame):
+        hot, rest = split_hot(df, long, keys)
+        return volatility_regime(rest, value, keys, False).unionByName(volatility_regime(hot, value, keys, True))
     if df.schema[value].dataType.typeName() in ("double", "float"):
         df = df.withColumn(value, known(value))
     thirds = (1.0 / 3.0, 2.0 / 3.0)
@@ -125,17 +134,26 @@ def market_features(
     indicators: DataFrame | None = None,
     ts: str = "ts",
     rows_per_task: int = ROWS_PER_TASK,
-    long: bool | None = None,
+    long: bool | DataFrame | None = None,
 ) -> DataFrame:
     """The whole feature table: bars with their features, regime, news and indicators.
 
     Regimes are taken over the bars, before news join in, so several articles at one time do not weigh a bar twice.
-    ``long`` left out, each input is checked by its estimated size, which starts no job.
+    ``long`` is that of :func:`varve.operators.series.over_series`, for the bars. Left out, long symbols of each input are
+    told by one count, and the bars' serve features and regimes both; small inputs start no job. With long symbols the
+    two kinds of bars go their ways as a whole, and are united at the end.
     """
-    if long is None:
-        long = is_long(bars, rows_per_task)
-    priced = volatility_regime(bar_features(bars, ts, rows_per_task, long), long=long)
-    side = {"ts": ts, "rows_per_task": rows_per_task, "long": True if long else None}
+    side = {"ts": ts, "rows_per_task": rows_per_task, "long": True if long is True else None}
+    long = which_series(bars, ["symbol"], rows_per_task, long)
+
+    def price(rows: DataFrame, long: bool) -> DataFrame:
+        return volatility_regime(bar_features(rows, ts, rows_per_task, long), long=long)
+
+    if isinstance(long, DataFrame):
+        hot, rest = split_hot(bars, long, ["symbol"])
+        priced = price(rest, False).unionByName(price(hot, True))
+    else:
+        priced = price(bars, long)
     return combine_features(
         priced,
         sentiment_features(feed, **side) if feed is not None else None,

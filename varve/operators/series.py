@@ -1,7 +1,7 @@
 """Window work over ordered series, also where one series holds a large share of all rows.
 
-A plain window puts a whole series into one task. When the longest series is larger than a task should hold, the
-series is cut into chunks of equal length instead. The cut is exact: every row gets its position in its series from
+A plain window puts a whole series into one task. Series that are larger than a task should hold, and only these, are
+cut into chunks of equal length instead. The cut is exact: every row gets its position in its series from
 row counts per time bucket plus its position inside its bucket, and each chunk also gets the few rows before (and
 after) it that its windows look at. Buckets get finer where one of them holds too many rows.
 """
@@ -23,17 +23,49 @@ _GROUP, _CHUNK, _HALO = "__group", "__chunk", "__halo"
 
 
 BYTES_PER_ROW = 64
+BROADCAST_KEYS = 100_000
 
 
 def is_long(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> bool:
     """Whether a series may have more rows than a task should hold, by the optimizer's estimate of the whole input.
 
-    An estimate that is too large only costs time: both forms give the same rows. No job is started.
+    An estimate that is too large only costs the count of :func:`hot_series`. No job is started.
     """
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return int(str(size)) > rows_per_task * BYTES_PER_ROW
 
 
+def hot_series(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame | None:
+    """The keys of the series with more than ``rows_per_task`` rows, or None where there are none.
+
+    One count that reads the key columns only and shrinks to a row per key and task before its shuffle. The keys found
+    are at most as many as tasks could be filled, and are written down once.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = cut(counts.where(F.col("__rows") > rows_per_task).select(*keys))
+    return None if hot.isEmpty() else hot
+
+
+def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of the series in ``hot``, and those of all others; null keys are equal to each other.
+
+    Up to ``BROADCAST_KEYS`` keys, which are counted first, go to every task, so that no row is shuffled for the split.
+    """
+    side = hot.select(F.struct(*keys).alias("__hot")).distinct()
+    if hot.count() <= BROADCAST_KEYS:
+        side = F.broadcast(side)
+    same = F.struct(*[df[k] for k in keys]) == F.col("__hot")
+    return df.join(side, same, "left_semi"), df.join(side, same, "left_anti")
+
+
+def which_series(df: DataFrame, keys: Sequence[str], rows_per_task: int, long: bool | DataFrame | None) -> bool | DataFrame:
+    """What ``long`` of :func:`over_series` comes to: True for all series, False for none, or the keys of the hot ones."""
+    if long is not None:
+        return long
+    hot = hot_series(df, keys, rows_per_task) if is_long(df, rows_per_task) else None
+    return False if hot is None else hot
+
+
 def _ladder(df: DataFrame, order: Sequence[str]) -> list[Column]:
     """Ever finer buckets along the order. The last one splits rows that share all order values by their partition."""
     kind = df.schema[order[0]].dataType
@@ -143,17 +175,22 @@ def over_series(
     lookahead: int = 0,
     fill: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
-    long: bool | None = None,
+    long: bool | DataFrame | None = None,
 ) -> DataFrame:
     """Run ``build(df, w)``, whose windows over ``w`` reach at most ``lookback`` rows back and ``lookahead`` on.
 
-    ``long`` says whether some series exceeds ``rows_per_task``; left out, the input's estimated size decides. ``fill`` columns are at
-    hand inside ``build`` as ``__filled_<column>`` and are dropped afterwards.
+    ``long`` says which series exceed ``rows_per_task`` and are cut: all (True), none (False), or those of a table of
+    keys. Left out, none are while the input's estimated size is small; beyond that they are counted. Series that are
+    not cut run through plain windows. ``fill`` columns are at hand inside ``build`` as ``__filled_<column>`` and are
+    dropped afterwards.
     """
     if rows_per_task < max(lookback, lookahead, 1):
         raise ValueError("rows_per_task must cover the look-back and look-ahead")
-    if long is None:
-        long = is_long(df, rows_per_task)
+    long = which_series(df, keys, rows_per_task, long)
+    if isinstance(long, DataFrame):
+        hot, rest = split_hot(df, long, keys)
+        more = (keys, order, build, lookback, lookahead, fill, rows_per_task)
+        return over_series(rest, *more, long=False).unionByName(over_series(hot, *more, long=True))
     helpers = [FILLED + c for c in fill]
 
     if not long:

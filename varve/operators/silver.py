@@ -107,8 +107,16 @@ def validated() -> Column:
     return F.coalesce(keep, F.lit(False))
 
 
+def newest_first() -> list[Column]:
+    """Rows by processing time, the newest first; those of one time by their place in the topic, then by their key.
+
+    Rows of one micro-batch share their time. The order tells them apart, so that a sort spreads them over tasks.
+    """
+    return [F.col("processing_timestamp").desc(), F.col("kafka_partition").asc(), F.col("kafka_offset").asc(), F.xxhash64(*C.DEDUP_KEYS).asc()]
+
+
 def silver_strict(df: DataFrame, ordered: bool = False) -> DataFrame:
-    """Bronze rows to the strict silver table: scored by completeness, valid rows only, newest first."""
+    """Bronze rows to the strict silver table: scored by completeness, valid rows only, and ``ordered`` newest first."""
     scored = df.withColumns({"quality_score": K.completeness_score(), "is_valid": K.completeness_flag()})
     cleaned = clean(
         scored,
@@ -116,7 +124,7 @@ def silver_strict(df: DataFrame, ordered: bool = False) -> DataFrame:
         city=F.col("city"),
     )
     kept = schemas.conform(keep_latest(cleaned).where(validated()), schemas.SILVER_STRICT)
-    return kept.orderBy(F.col("processing_timestamp").desc()) if ordered else kept
+    return kept.orderBy(*newest_first()) if ordered else kept
 
 
 def for_date(df: DataFrame, date: str | dt.date) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,6 +86,34 @@ def read_until(spark: SparkSession, path: str, end_date: str, first_date: str |
     return until(spark.read.parquet(path), end_date, first_date)
 
 
+def read_in_order(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """A table of :func:`varve.sinks.files.write_in_order` with the place of each row in its order, from 1.
+
+    Files follow each other by the numbers in their names, so only their row counts are summed up, one row per file;
+    nothing is sorted or ranked again.
+    """
+    rows = spark.read.parquet(path)
+    if position in rows.columns:
+        raise ValueError(f"the table has a column {position}; choose another name for the places")
+    file, row = unused("file", rows), unused("row", rows)
+    named = rows.select("*", F.col("_metadata.file_name").alias(file), F.col("_metadata.row_index").alias(row))
+    counts = rows.groupBy(F.col("_metadata.file_name").alias(file)).agg(F.count(F.lit(1)).alias("rows"))
+    task = F.regexp_extract(file, r"part-(\d+)", 1).cast("long")
+    turn = F.regexp_extract(file, r"-c(\d+)\.", 1).cast("long")
+    earlier = Window.orderBy(task, turn).rowsBetween(Window.unboundedPreceding, -1)
+    before = unused("before", rows)
+    starts = counts.select(file, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias(before))
+    placed = named.join(starts, file)
+    return placed.select(*[F.col(f"`{c}`") for c in rows.columns], (F.col(before) + F.col(row) + 1).alias(position))
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, or one like it that is no column of ``df``."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def _first_rows_per_file(df: DataFrame, rows: int) -> DataFrame:
     """The first rows of each file in file order. A task sorts one file split at most."""
     tagged = df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__split"))

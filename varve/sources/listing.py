@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.names import check_name, data_file, safe_name
+from ..operators.quantiles import join_null_safe
+from ..sinks.files import write_in_order
+from .files import read_in_order
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -82,10 +85,48 @@ def list_partitions(files: DataFrame, dataset: str, root: str | None = None) ->
     return lists.withColumn("total_partitions", F.sum("value_count").over(whole))
 
 
-def list_datasets(files: DataFrame, root: str | None = None) -> DataFrame:
+VALUE_ORDER = ("dataset_name", "partition_key", "partition_value")
+PAGE_VALUES = 1_000
+
+
+def store_values(files: DataFrame, path: str, root: str | None = None) -> None:
+    """Write the long form of all partition values in their order, for the pages below."""
+    write_in_order(partition_values(files, root), path, VALUE_ORDER)
+
+
+def value_pages(spark: SparkSession, path: str, values: int = PAGE_VALUES) -> DataFrame:
+    """All pages of a store: ``dataset_name, partition_key, page, partition_values, value_count, files, size``.
+
+    A page, from 1, holds ``values`` sorted values at most, so no row grows with its dataset. Pages are told by the
+    places that rows have in the store; a dataset with most of the values is neither sorted nor ranked in one task.
+    """
+    if values < 1:
+        raise ValueError(f"a page must hold a value: {values}")
+    placed = read_in_order(spark, path)
+    first = placed.groupBy("dataset_name", "partition_key").agg(F.min("position").alias("__first"))
+    paged = join_null_safe(placed, first, ["dataset_name", "partition_key"])
+    page = F.floor((F.col("position") - F.col("__first")) / values) + 1
+    return paged.groupBy("dataset_name", "partition_key", page.alias("page")).agg(
+        F.array_sort(F.collect_list("partition_value")).alias("partition_values"),
+        F.count(F.lit(1)).alias("value_count"),
+        F.sum("files").alias("files"),
+        F.sum("size").alias("size"),
+    )
+
+
+def values_after(spark: SparkSession, path: str, dataset: str, key: str, after: str | None = None, values: int = PAGE_VALUES) -> DataFrame:
+    """The next ``values`` values of a store after ``after``, sorted; all conditions reach the scan of the sorted files."""
+    check_name(dataset, "dataset_name")
+    rows = spark.read.parquet(path).where((F.col("dataset_name") == dataset) & (F.col("partition_key") == key))
+    rows = rows.where(F.col("partition_value") > after) if after is not None else rows
+    return rows.orderBy("partition_value").limit(values)
+
+
+def list_datasets(files: DataFrame, root: str | None = None, with_values: bool = True) -> DataFrame:
     """Partitioned datasets as one row each, other files singly.
 
-    One pass over the listing: files shrink to partitions before the first shuffle, then to values, keys and datasets.
+    ``partition_info`` maps each partition key to its sorted values; without ``with_values`` to their number, so that no
+    row grows with its dataset, and :func:`value_pages` has the values. One pass over the listing: files shrink to partitions before the first shuffle, then to values, keys and datasets.
     A partition with several keys carries its size with the first of them, so that sums count it once.
     """
     totals = {"size": F.sum, "last_modified": F.max, "partition_count": F.sum, "root_path": F.min}
@@ -119,7 +160,8 @@ def list_datasets(files: DataFrame, root: str | None = None) -> DataFrame:
         }
     )
     by_value = add_up(once, *single, "partition_key", "partition_value")
-    by_key = add_up(by_value, *single, "partition_key", values=F.array_sort(F.collect_list("partition_value")))
+    values = F.array_sort(F.collect_list("partition_value")) if with_values else F.count("partition_value")
+    by_key = add_up(by_value, *single, "partition_key", values=values)
     entry = F.when(F.col("partition_key").isNotNull(), F.struct("partition_key", "values"))
     found = add_up(by_key, *single, entries=F.array_sort(F.collect_list(entry)))
     partitioned = F.col("is_partitioned")
