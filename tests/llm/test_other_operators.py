@@ -1,9 +1,10 @@
 """WARC, chat, URLs, vectors and the two learned scores, with the cases that tables bring."""
 
 import base64
+import gzip
 import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,76 @@ def test_lost_and_repeated_segments(spark):
         assert [r.complete for r in warc.reassembled(segments.where(F.col("segment") != lost)).collect()] == [False]
 
 
+def test_damaged_archives_lose_no_whole_record(spark, tmp_path):
+    def made(i, block, length=None, more=b""):
+        return b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <r%d>\r\n%sContent-Length: %s\r\n\r\n%s" % (i, more, length or b"%d" % len(block), block)
+
+    http = b"HTTP/1.1 200 OK\r\n\r\n"
+    good = [made(i, http + b"body %d" % i) for i in range(6)]
+    end = warc.END
+    damaged = end.join([good[0], b"junk\r\n\r\nmore WARC/1.1 junk", good[1], made(10, http + b"x", b"many"), good[2], made(11, http + b"y", b"7"), good[3], made(12, http + b"z", b"9999"), good[4], made(13, http + b"s", more=b"WARC-Segment-Number: one\r\n"), b"WARC/1.1\r\nno end of a header"])
+    rows = list(warc.parsed(damaged))
+    assert [r["record_id"] for r in rows if r["whole"]] == ["r0", "r1", "r2", "r3", "r4", "r13"]
+    assert [r["record_id"] for r in rows if not r["whole"]] == [None, "r10", "r11", "r12", None]
+    assert all(damaged.startswith(b"WARC/" if r["type"] else r["block"], r["start"]) for r in rows)
+    assert b"more WARC/1.1 junk" in rows[1]["block"] and [r["block"] for r in rows if r["record_id"] == "r12"] == [http + b"z"]
+    assert list(warc.parsed(b"")) == [] and list(warc.parsed(b"\r\n\r\n")) == []
+    short = list(warc.parsed(good[0][:-2]))
+    assert [(r["record_id"], r["whole"]) for r in short] == [("r0", False)]
+
+    rng = random.Random(7)
+    noise = [made(20 + i, http + rng.randbytes(3_000)) for i in range(40)]
+    members = [gzip.compress(r + end) for r in noise]
+    broken = bytearray(members[10])
+    broken[200:260] = bytes(60)
+    one = gzip.compress(end.join(noise))
+    files = {"plain.warc": damaged, "members.warc.gz": b"".join([*members[:10], bytes(broken), *members[11:20]]), "cut.warc.gz": one[: len(one) // 2], "none.warc": b"", "no.warc.gz": b"\x1f\x8bnothing"}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    whole = {r.record_id for r in warc.responses(spark, str(tmp_path)).where("valid").collect()}
+    assert {f"r{i}" for i in (0, 1, 2, 3, 4)} <= whole and {f"r{20 + i}" for i in range(20) if i != 10} <= whole
+    assert not whole & {"r10", "r11", "r12", "r59"}
+    lost = warc.read_records(spark, str(tmp_path), "damaged").collect()
+    assert sum(r.type is None for r in lost) >= 5 and all(not r.whole for r in lost)
+
+
+def test_every_page_has_a_record_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(warc, "COPIES_A_BLOCK", 7)
+    rows = [(1, "u", "same")] * 30 + [(2, "v", "same"), (2, "w", "same"), (2, "w", "same")] + [(None, "x", "only")] * 3 + [(None, "y", "only"), (None, None, None)]
+    rows += [(3, "u", "alone"), (4, None, "a"), (4, None, "a"), (4, "", "a"), (None, "u", "same")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    path = folder(spark, "warc")
+    warc.write_archive(warc.page_records(pages, cut=cut), path)
+    first, again = warc.responses(spark, path).collect(), warc.revisits(spark, path).collect()
+    names = [r.record_id for r in [*first, *again]]
+    assert len(names) == len(set(names)) == len(rows) and all(r.valid for r in first)
+    got = Counter([(r.record_id.split(":")[2], r.url, r.payload.decode(), None) for r in first] + [(r.record_id.split(":")[2], r.url, None, r.refers_to.split(":")[2]) for r in again])
+    known = {r.record_id for r in first}
+    assert all(r.refers_to in known for r in again)
+    smallest = {"same": 1, "alone": 3, "a": 4}
+    want = Counter()
+    for page, url, html in rows:
+        least = smallest.get(html)
+        revisit = least is not None and page != least
+        want[("" if page is None else str(page), url, None if revisit else html or "", str(least) if revisit else None)] += 1
+    assert got == want
+    small = warc.page_records(pages, least_bytes=100).collect()
+    assert len({r.record_id for r in small}) == len(rows) and all(r.refers_to is None for r in small)
+
+
+def test_the_archive_query_by_force(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, f"http://a/{i}", rng.choice([None, "", "<p>é</p>", "x" * 20_000, f"own {i}", "ab"])) for i in range(300)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["op1_warc"](spark, str(tmp_path)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid").collect())
+    want, seen = [], {}
+    for i, _, html in rows:
+        body = (html or "").encode()
+        least = seen.setdefault(body, i)
+        want.append((i, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "response" if least == i else "revisit", None if least == i else least, True))
+    assert got == want
+
+
 def test_empty_archive(spark):
     assert QUERIES and warc.page_records(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 

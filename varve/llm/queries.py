@@ -126,8 +126,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folder(spark, "warc")
     warc.write_archive(warc.page_records(table(spark, sf_dir, "pages"), cut=cut), path)
     read = warc.responses(spark, path).select("record_id", F.length("payload").cast("long").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "valid")
-    whole = cut(read.distinct(), "responses")
-    again = warc.revisits(spark, path).select("record_id", F.col("digest").alias("payload_digest"), "refers_to").distinct()
+    whole = cut(read, "responses")
+    again = warc.revisits(spark, path).select("record_id", F.col("digest").alias("payload_digest"), "refers_to")
     target = whole.select(F.col("record_id").alias("refers_to"), "payload_bytes", "valid")
     columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "valid")
     first = whole.select(warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), "valid")

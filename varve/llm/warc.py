@@ -8,9 +8,10 @@ groups segments by origin, orders them by number, checks the total length, and u
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
+import itertools
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,7 +27,7 @@ END = b"\r\n\r\n"
 DATE = "2020-01-01T00:00:00Z"  # of all records, so that archives of equal pages are equal
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORD = "record_id string, type string, origin_id string, segment long, total_length long, refers_to string, digest string, url string, block binary"
+RECORD = "record_id string, type string, origin_id string, segment long, total_length long, refers_to string, digest string, url string, block binary, start long, whole boolean"
 _ARROW = pa.schema(
     [
         *((n, pa.string()) for n in ("record_id", "type", "origin_id")),
@@ -34,6 +35,8 @@ _ARROW = pa.schema(
         ("total_length", pa.int64()),
         *((n, pa.string()) for n in ("refers_to", "digest", "url")),
         ("block", pa.binary()),
+        ("start", pa.int64()),
+        ("whole", pa.bool_()),
     ]
 )
 
@@ -131,49 +134,118 @@ def write_archive(records: DataFrame, path: str, segment_bytes: int = SEGMENT_BY
     text.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
+_NEXT = re.compile(rb"(?:\A|(?<=\n))WARC/\d")
+_PLAIN = ("record_id", "type", "origin_id", "segment", "total_length", "refers_to", "digest", "url")
+
+
+def _number(text: str | None) -> int | None:
+    """A number of a header, or None where there is none or it is no count of bytes or segments."""
+    return int(text) if text is not None and re.fullmatch(r"[0-9]{1,18}", text) else None
+
+
+def _bare(text: str | None) -> str | None:
+    return None if text is None else text.strip("<>")
+
+
 def parsed(data: bytes) -> Iterator[dict]:
-    """The records of an archive file, found by their lengths; what is no record ends the file."""
-    at = 0
-    while True:
-        while data[at : at + 1] in (b"\r", b"\n"):
+    """The records of an archive file, found by their lengths, and what is damaged.
+
+    ``start`` is the byte at which a record begins. Bytes that are no record come as rows with nothing but ``block`` and
+    ``start``, ``whole`` false, and reading goes on at the next line that begins ``WARC/``. So does a record whose
+    Content-Length is missing, unreadable, beyond the end of the file, or not followed by the end of a record: its row
+    has its fields, what there is of its block, and ``whole`` false. An empty file has no rows.
+    """
+    at, end = 0, len(data)
+
+    def next_record(after: int) -> int:
+        found = _NEXT.search(data, after)
+        return found.start() if found else end
+
+    while at < end:
+        if data[at : at + 1] in (b"\r", b"\n"):
             at += 1
-        gap = data.find(END, at)
-        if gap < 0 or not data.startswith(b"WARC/", at):
-            return
-        fields = dict(re.findall(r"(?m)^([^:\r\n]+):[ \t]*(.*?)\r?$", data[at:gap].decode("utf-8", "replace")))
-        fields = {k.lower(): v for k, v in fields.items()}
-        length = int(fields.get("content-length", 0))
-        at = gap + 4
+            continue
+        stop = next_record(at + 1)
+        head = data.find(END, at, stop)
+        if not _NEXT.match(data, at) or head < 0:
+            if not _NEXT.match(data, at):
+                stop = next_record(at)
+            yield {**dict.fromkeys(_PLAIN), "block": data[at:stop], "start": at, "whole": False}
+            at = stop
+            continue
+        fields = {k.lower(): v for k, v in re.findall(r"(?m)^([^:\r\n]+):[ \t]*(.*?)\r?$", data[at:head].decode("utf-8", "replace"))}
+        length, first = _number(fields.get("content-length")), head + len(END)
+        last = end + 1 if length is None else first + length
+        rest = data[last : last + len(END)]
+        whole = last <= end and (rest == END[: len(rest)] or data.startswith(b"WARC/", last))
+        if not whole:
+            last = next_record(first)
+        block = data[first:last] if whole else data[first:last].removesuffix(END)
+        digest = fields.get("warc-payload-digest")
         yield {
-            "record_id": fields.get("warc-record-id", "").strip("<>"),
+            "record_id": _bare(fields.get("warc-record-id", "")),
             "type": fields.get("warc-type"),
-            "origin_id": fields["warc-segment-origin-id"].strip("<>") if "warc-segment-origin-id" in fields else None,
-            "segment": int(fields["warc-segment-number"]) if "warc-segment-number" in fields else None,
-            "total_length": int(fields["warc-segment-total-length"]) if "warc-segment-total-length" in fields else None,
-            "refers_to": fields["warc-refers-to"].strip("<>") if "warc-refers-to" in fields else None,
-            "digest": fields["warc-payload-digest"].removeprefix("sha1:") if "warc-payload-digest" in fields else None,
+            "origin_id": _bare(fields.get("warc-segment-origin-id")),
+            "segment": _number(fields.get("warc-segment-number")),
+            "total_length": _number(fields.get("warc-segment-total-length")),
+            "refers_to": _bare(fields.get("warc-refers-to")),
+            "digest": None if digest is None else digest.removeprefix("sha1:"),
             "url": fields.get("warc-target-uri"),
-            "block": data[at : at + length],
+            "block": block,
+            "start": at,
+            "whole": whole,
         }
-        at += length
+        at = last
+
+
+_GZIP = b"\x1f\x8b\x08"
+_PIECE = 1 << 16
+
+
+def inflated(data: bytes) -> tuple[bytes, bool]:
+    """The content of a gzip file of one or more members, and whether all of it could be read.
+
+    Of a damaged member what comes before the damage is kept, and reading goes on at the next member.
+    """
+    out, at, sound = [], 0, True
+    while at < len(data):
+        member, start = zlib.decompressobj(wbits=31), at
+        try:
+            while at < len(data) and not member.eof:
+                out.append(member.decompress(data[at : at + _PIECE]))
+                at = min(at + _PIECE, len(data)) - len(member.unused_data)
+            sound &= member.eof
+        except zlib.error:
+            found, sound = data.find(_GZIP, start + 1), False
+            at = found if found >= 0 else len(data)
+            out.append(b"\n")  # so that the next member begins a line
+    return b"".join(out), sound
 
 
 def read_records(spark: SparkSession, path: str, part: str = "all") -> DataFrame:
-    """The records of all archive files below ``path``; ``part`` may ask for ``whole``, ``segments`` or ``revisits``."""
+    """The records of all archive files below ``path``; ``part`` may ask for ``whole``, ``segments``, ``revisits`` or ``damaged``.
+
+    Damaged files end no job: what is no record comes as a row without type, see :func:`parsed`, also for a gzip file
+    that is cut or broken, whose lost rest is an empty row. ``damaged`` are these, and records that are not whole.
+    """
     reachable(spark)
 
     def wanted(r: dict) -> bool:
-        kind = "revisits" if r["type"] == "revisit" else "segments" if r["segment"] is not None else "whole"
+        if part == "damaged":
+            return not r["whole"]
+        kind = "none" if r["type"] is None else "revisits" if r["type"] == "revisit" else "segments" if r["segment"] is not None else "whole"
         return part in ("all", kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
                 data = content.as_py()
+                lost: list[dict] = []
                 if data[:2] == b"\x1f\x8b":
-                    data = gzip.decompress(data)
+                    data, sound = inflated(data)
+                    lost = [] if sound else [{**dict.fromkeys(_PLAIN), "block": b"", "start": len(data), "whole": False}]
                 rows, held = [], 0
-                for r in filter(wanted, parsed(data)):
+                for r in filter(wanted, itertools.chain(parsed(data), lost)):
                     rows.append(r)
                     held += len(r["block"])
                     if held > 1 << 22:
@@ -188,9 +260,10 @@ def reassembled(segments: DataFrame) -> DataFrame:
     """One row per origin: ``(record_id, digest, url, blocks, complete)``.
 
     Segments are grouped by origin id and ordered by number; repeats of one segment count once. ``complete`` says that
-    the numbers run from 1 without a gap and that the lengths sum to the total that the last one states.
+    the numbers run from 1 without a gap and that the lengths sum to the total that the last one states. Segments that
+    are not whole are left out, so that a whole repeat of one takes its place.
     """
-    keyed = segments.select(F.coalesce("origin_id", "record_id").alias("record_id"), "segment", "total_length", "digest", "url", "block")
+    keyed = segments.where("whole").select(F.coalesce("origin_id", "record_id").alias("record_id"), "segment", "total_length", "digest", "url", "block")
     parts = F.sort_array(F.collect_set(F.struct("segment", "block")))
     out = keyed.groupBy("record_id").agg(F.max("digest").alias("digest"), F.max("url").alias("url"), F.max("total_length").alias("total"), parts.alias("parts"))
     length = F.aggregate("parts", F.lit(0).cast("long"), lambda s, p: s + F.length(p["block"]))
@@ -202,9 +275,9 @@ def responses(spark: SparkSession, path: str) -> DataFrame:
     """Every response with its payload: ``(record_id, url, digest, payload, valid)``.
 
     ``valid`` says that all segments are there, the framing is whole and the payload has the digest stated; the payload
-    of a record with missing segments or broken framing is null.
+    of a record with missing segments, a short block or broken framing is null. Archives without records give no rows.
     """
-    whole = read_records(spark, path, "whole").where("type = 'response'").select("record_id", "digest", "url", F.array("block").alias("blocks"), F.lit(True).alias("complete"))
+    whole = read_records(spark, path, "whole").where("type = 'response'").select("record_id", "digest", "url", F.array("block").alias("blocks"), F.col("whole").alias("complete"))
     both = whole.union(reassembled(read_records(spark, path, "segments")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,24 +295,46 @@ def revisits(spark: SparkSession, path: str) -> DataFrame:
     return read_records(spark, path, "revisits").select("record_id", "url", "digest", "refers_to")
 
 
+COPIES_A_BLOCK = 1_000
+
+
 def page_records(pages: DataFrame, least_bytes: int = 0, cut=lambda df, name: df) -> DataFrame:
-    """Records of ``pages(page_id, url, html)`` for ``write_archive``.
+    """Records of ``pages(page_id, url, html)`` for ``write_archive``, one per row.
 
     Of pages with equal payloads of at least ``least_bytes``, the one with the smallest id is the response and the
-    others revisit it. A record's id is made of page id and payload digest, so that repeated rows make one record.
-    Only ids and digests are shuffled; pages meet their responses by page id, which no hot payload can skew.
+    others revisit it; repeated rows of the smallest id are all responses, and so are pages that have no id but null.
+    A record's id is made of page id and payload digest. Where several rows agree in both, all but one add a digest of
+    their url and a number, so that each has an id of its own. Null urls and html are rows like any others; an empty
+    table gives no records; other columns are passed over.
+
+    Only ids and digests are shuffled; pages meet their responses by page id, which no hot payload can skew. Rows that
+    repeat in full are counted, kept once, and written as often as they occur by blocks of ``COPIES_A_BLOCK``.
     """
+    keys = ["page_id", "sha1", "place"]
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    plain = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("sha1"))
-    narrow = plain.where(F.length("payload") >= least_bytes).select("page_id", "sha1")
-    first = cut(narrow.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n"), "first")
-    again = cut(narrow.join(first, "sha1").where("page_id is null or page_id <> first").distinct(), "again")
-    joined = plain.join(again.withColumnRenamed("sha1", "s").withColumnRenamed("page_id", "p"), F.col("page_id").eqNullSafe(F.col("p")) & (F.col("sha1") == F.col("s")), "left")
+    plain = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload).alias("sha1"), F.sha1(F.col("url").cast("binary")).alias("place"))
+    smallest = F.min(F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "place")).alias("least")
+    shared = plain.groupBy("sha1").agg(smallest, F.count("*").alias("rows"), F.max(F.length("payload")).alias("size")).where("rows > 1")
+    shared = cut(shared.select("sha1", F.col("least.page_id").alias("first"), F.col("least.place").alias("at"), (F.col("size") >= least_bytes).alias("linked")), "first")
+    leads = F.col("page_id").eqNullSafe(F.col("first")) & F.col("place").eqNullSafe(F.col("at"))
+    again = plain.select(*keys).join(shared, "sha1").groupBy(*keys, "first", "linked", leads.alias("leads")).agg(F.count("*").alias("n"))
+    again = cut(again.where("n > 1 or not leads"), "again").withColumnsRenamed({k: f"r_{k}" for k in keys})
+    same = F.col("page_id").eqNullSafe(F.col("r_page_id")) & (F.col("sha1") == F.col("r_sha1")) & F.col("place").eqNullSafe(F.col("r_place"))
+    joined = plain.join(again, same, "left").drop("r_page_id", "r_sha1", "r_place")
+    once = joined.where("n is null or n = 1").withColumn("copy", F.lit(1).cast("long"))
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {COPIES_A_BLOCK}")))
+    low = F.col("block") * COPIES_A_BLOCK + 1
+    copies = F.explode(F.sequence(low, F.least(F.col("n"), low + (COPIES_A_BLOCK - 1))))
+    many = joined.where("n > 1").dropDuplicates(keys).withColumn("block", blocks)
+    many = many.repartition(*keys, "block").withColumn("copy", copies).drop("block")
 
     def name(page: str) -> Column:
         return F.concat_ws(":", F.lit("urn:page"), F.coalesce(F.col(page).cast("string"), F.lit("")), "sha1")
 
-    return joined.select(name("page_id").alias("record_id"), "url", "payload", "sha1", F.when(F.col("first").isNotNull(), name("first")).alias("refers_to"))
+    own = F.when(F.col("n").isNull() | (F.col("leads") & (F.col("copy") == 1)), name("page_id"))
+    own = own.otherwise(F.concat_ws(":", name("page_id"), F.coalesce("place", F.lit("")), F.col("copy").cast("string")))
+    other = F.when(F.col("linked") & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), name("first"))
+    return once.unionByName(many).select(own.alias("record_id"), "url", "payload", "sha1", other.alias("refers_to"))
 
 
 def page_of(record: str) -> Column:
