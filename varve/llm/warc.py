@@ -134,7 +134,7 @@ def write_archive(records: DataFrame, path: str, segment_bytes: int = SEGMENT_BY
     text.write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-_NEXT = re.compile(rb"(?:\A|(?<=\n))WARC/\d")
+_LINE = b"\nWARC/"
 _PLAIN = ("record_id", "type", "origin_id", "segment", "total_length", "refers_to", "digest", "url")
 
 
@@ -158,8 +158,7 @@ def parsed(data: bytes) -> Iterator[dict]:
     at, end = 0, len(data)
 
     def next_record(after: int) -> int:
-        found = _NEXT.search(data, after)
-        return found.start() if found else end
+        return data.find(_LINE, after - 1) + 1 or end
 
     while at < end:
         if data[at : at + 1] in (b"\r", b"\n"):
@@ -167,13 +166,12 @@ def parsed(data: bytes) -> Iterator[dict]:
             continue
         stop = next_record(at + 1)
         head = data.find(END, at, stop)
-        if not _NEXT.match(data, at) or head < 0:
-            if not _NEXT.match(data, at):
-                stop = next_record(at)
+        if not data.startswith(b"WARC/", at) or head < 0:
             yield {**dict.fromkeys(_PLAIN), "block": data[at:stop], "start": at, "whole": False}
             at = stop
             continue
-        fields = {k.lower(): v for k, v in re.findall(r"(?m)^([^:\r\n]+):[ \t]*(.*?)\r?$", data[at:head].decode("utf-8", "replace"))}
+        lines = (line.partition(":") for line in data[at:head].decode("utf-8", "replace").split("\r\n"))
+        fields = {k.lower(): v.strip(" \t") for k, colon, v in lines if colon}
         length, first = _number(fields.get("content-length")), head + len(END)
         last = end + 1 if length is None else first + length
         rest = data[last : last + len(END)]
