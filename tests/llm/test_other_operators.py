@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -339,6 +340,29 @@ def test_folding_and_exceptions():
     assert toxicity.hits(None, ["x"]) == (0.0, []) and toxicity.hits(matcher, []) == (0.0, [])
 
 
+def test_excused_words_by_force():
+    rng = random.Random(3)
+    lexicon = toxicity.Lexicon({" a ": 1.0, " b ": 2.0, " ab": 0.5}, ("a b", "b a c", "c abba"))
+    matcher = lexicon.matcher()
+    for _ in range(300):
+        words = rng.choices(["a", "b", "c", "abba", "abc"], k=rng.randint(0, 9))
+        starts = [sum(len(w) + 1 for w in words[:i]) for i in range(len(words))]
+        phrases = [p.split() for p in lexicon.exceptions]
+        excused = {i + k for p in phrases for i in range(len(words)) if words[i : i + len(p)] == p for k in range(len(p))}
+        weights = {"a": 1.0, "b": 2.0, "abba": 0.5, "abc": 0.5}
+        want = [i for i, w in enumerate(words) if w in weights and i not in excused]
+        assert toxicity.hits(matcher, words) == (sum(weights[words[i]] for i in want), [starts[i] for i in want])
+
+
+def test_very_many_excused_words(spark):
+    lexicon = toxicity.Lexicon({" ciown ": 5.0}, ("ciown fish",))
+    began = time.monotonic()
+    assert toxicity.hits(lexicon.matcher(), ["ciown", "fish"] * 100_000 + ["ciown"]) == (5.0, [200_000 // 2 * 11])
+    rows = spark.createDataFrame([(y, ("clown fish " if y == 0 else "clown ") * 50_000) for y in (0, 0, 0, 1)], "y int, text string")
+    assert "ciown fish" in toxicity._fitted(toxicity.Lexicon({" ciown ": 5.0}), rows).exceptions
+    assert time.monotonic() - began < 60
+
+
 def test_features_of_odd_texts():
     for text in (None, "", " ", "\n\n", "a", "é" * 50_000, "\ud7ff!|#"):
         x = quality_gam.text_features(text)

@@ -10,6 +10,7 @@ and curve are fitted too.
 
 from __future__ import annotations
 
+import itertools
 import math
 import unicodedata
 from collections import Counter
@@ -26,7 +27,6 @@ from .quality_gam import training_rows
 from .store import cut, reachable
 
 SAMPLE = 8_000  # labelled rows that a lexicon is learned from, the least by hash of their id
-MOST_TERMS = 5_000  # entries of a lexicon, the heaviest
 LEAST_SURROUNDINGS = 5
 LEAST_WEIGHT = 3.0
 LEAST_WORDS = 3  # different words that a beginning must stand for
@@ -113,7 +113,16 @@ def hits(matcher: ahocorasick.Automaton | None, words: list[str]) -> tuple[float
         elif weight > best.get(start, -1e9):
             best[start] = weight
     if excused:
-        best = {s: w for s, w in best.items() if not any(a <= s < b for a, b in excused)}
+        # One sweep: a word is excused if a phrase that begins before it or with it reaches beyond its beginning.
+        excused.sort()
+        reach, at, left = -1, 0, {}
+        for s in sorted(best):
+            while at < len(excused) and excused[at][0] <= s:
+                reach = max(reach, excused[at][1])
+                at += 1
+            if reach <= s:
+                left[s] = best[s]
+        best = left
     return sum(best.values()), sorted(best)
 
 
@@ -136,7 +145,11 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, *, id_column: str = "doc_id", text_column: str = "text", label: str = "toxic", sample: int = SAMPLE, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
-    """A lexicon from at most ``sample`` labelled rows for which ``usable`` holds. Without both labels it is empty."""
+    """A lexicon from at most ``sample`` labelled rows for which ``usable`` holds. Without both labels it is empty.
+
+    It holds every term and every exception that these rows bear out, so its size is bounded by theirs; what is
+    collected are terms with several surroundings in them, never statistics of all documents.
+    """
     reachable(docs.sparkSession)
     plain = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text_column}`").alias("text"))
     chosen = cut(training_rows(labels, label, usable, sample, id_column), "sample")
@@ -154,7 +167,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, *, id_column: str
     ranked = words.select(F.explode(terms).alias("term"), "t", "c").groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count_if(F.col("t") > 0).alias("words"))
     ranked = ranked.select("term", "t", "words", weight.alias("weight")).where((F.col("t") >= LEAST_SURROUNDINGS) & (F.col("weight") >= LEAST_WEIGHT))
     ranked = ranked.where(F.col("term").endswith(" ") | (F.col("words") >= LEAST_WORDS))
-    found = ranked.orderBy(F.col("weight").desc(), F.col("t").desc(), "term").limit(MOST_TERMS).collect()
+    found = ranked.orderBy(F.col("weight").desc(), F.col("t").desc(), "term").collect()
     lexicon = Lexicon({r["term"]: r["weight"] for r in found}, tuple(p for p in map(_folded_phrase, exceptions) if p))
     return _fitted(lexicon, rows)
 
@@ -169,19 +182,17 @@ def _fitted(lexicon: Lexicon, rows: DataFrame) -> Lexicon:
             for text in batch.column(1).to_pylist():
                 words = folded(text)
                 total, starts = hits(matcher, words)
-                joined = f" {' '.join(words)} "
+                place = dict(zip(itertools.accumulate((len(w) + 1 for w in words), initial=0), range(len(words))))
                 phrases = set()
-                for s in starts:
-                    after = joined[s + 1 :].split(" ", 2)[:2]
-                    before = joined[:s].rsplit(" ", 1)[-1]
-                    phrases |= {" ".join(after).strip(), f"{before} {after[0]}".strip()}
-                out.append((total, len(words), sorted(p for p in phrases if " " in p)))
+                for i in map(place.__getitem__, starts):
+                    phrases |= {" ".join(words[j : j + 2]) for j in (i - 1, i) if 0 <= j < len(words) - 1}
+                out.append((total, len(words), sorted(phrases)))
             arrays = [batch.column(0), pa.array([o[0] for o in out], pa.float64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["y", "total", "words", "phrases"])
 
     schema = "y int, total double, words long, phrases array<string>"
     harmless = rows.mapInArrow(run, schema).select("y", F.explode("phrases").alias("p")).groupBy("p").agg(F.count_if(F.col("y") == 0).alias("c"), F.count_if(F.col("y") == 1).alias("t"))
-    more = harmless.where((F.col("c") >= 3) & (F.col("c") > 4 * F.col("t"))).orderBy(F.col("c").desc(), "p").limit(MOST_TERMS).collect()
+    more = harmless.where((F.col("c") >= 3) & (F.col("c") > 4 * F.col("t"))).orderBy(F.col("c").desc(), "p").collect()
     lexicon.exceptions = tuple(dict.fromkeys([*lexicon.exceptions, *(r["p"] for r in more)]))
     data = rows.mapInArrow(run, schema).select("y", "total", "words").toPandas()
     y = data["y"].to_numpy(dtype=float)
