@@ -3,7 +3,10 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
+import re
+import string
 import time
 from collections import Counter, defaultdict
 
@@ -16,7 +19,7 @@ from varve.llm import chat, quality_gam, toxicity, warc
 from varve.llm.embedding_dedup import near_vectors
 from varve.llm.queries import QUERIES, URL_RULES
 from varve.llm.store import cut, folder
-from varve.llm.url_templates import judge_urls
+from varve.llm.url_templates import LEAST_COUNT, LEAST_SHARE, REJECT, SIGNIFICANT, STRENGTH, judge_urls
 
 
 def test_chunked_framing_is_undone():
@@ -195,7 +198,7 @@ def test_assembly_of_many_small_and_large_parts():
     assert [buffer[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)] == texts
 
 
-def rule_by_force(url):
+def rule_by_force(url, rules=URL_RULES):
     if url is None or "://" not in url:
         return "", "", None
     rest = url.split("://", 1)[1]
@@ -204,7 +207,7 @@ def rule_by_force(url):
     path = rest[cut_at:]
     path = path[: min([path.find(c) for c in "?#" if c in path] or [len(path)])]
     best = None
-    for rule in URL_RULES:
+    for rule in rules:
         own, slash, more = rule.partition("/")
         if (host == own or host.endswith("." + own)) and path.startswith(slash + more) and (best is None or len(rule) > len(best)):
             best = rule
@@ -363,6 +366,72 @@ def test_very_many_excused_words(spark):
     assert time.monotonic() - began < 60
 
 
+def templates_by_force(urls, rules):
+    """The template and the share of blocked of each URL, from a tree that is walked level by level."""
+    rows = []
+    for url in urls:
+        host, path, rule = rule_by_force(url, rules)
+        marked = re.sub(r"[0-9]+", "{n}", re.sub(r"(?=[a-f]*[0-9])[0-9a-f]{8,}", "{h}", path))
+        rows.append((host, marked.split("/"), rule is not None, rules.get(rule) == "block"))
+    names = [[] for _ in rows]
+    for level in range(max(len(r[1]) for r in rows)):
+        below = defaultdict(list)
+        for i, r in enumerate(rows):
+            if level < len(r[1]):
+                below[r[0], tuple(names[i])].append(i)
+        for members in below.values():
+            known, bad = (sum(rows[i][k] for i in members) for k in (2, 3))
+            p, branches = (bad + 0.5) / (known + 1), defaultdict(list)
+            for i in members:
+                branches[rows[i][1][level]].append(i)
+            for step, of in branches.items():
+                n, k, b = len(of), sum(rows[i][2] for i in of), sum(rows[i][3] for i in of)
+                if n == len(members):
+                    name = step
+                elif n < LEAST_COUNT or n < LEAST_SHARE * len(members):
+                    name = "*"
+                elif k == 0 or abs(b - k * p) / math.sqrt(k * p * (1 - p)) < SIGNIFICANT:
+                    name = "(alike)"
+                else:
+                    name = step
+                for i in of:
+                    names[i].append(name)
+    total, hosts, made = [0, 0], defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    keys = [(r[0], "/".join(n)) for r, n in zip(rows, names, strict=True)]
+    for r, key in zip(rows, keys, strict=True):
+        for count in (total, hosts[r[0]], made[key]):
+            count[0] += r[2]
+            count[1] += r[3]
+    overall = total[1] / total[0] if total[0] else 0.0
+    out = []
+    for host, template in keys:
+        share = (hosts[host][1] + STRENGTH * overall) / (hosts[host][0] + STRENGTH)
+        out.append((template, (made[host, template][1] + STRENGTH * share) / (made[host, template][0] + STRENGTH)))
+    return out
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_templates_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    words = ["shop", "user", "item", "pay", "info", "de", "fr", "x9", "0123abcdef", "a-7", ""]
+    urls = [None, "", "http://"]
+    for _ in range(900):
+        host = rng.choice(["a.com", "b.com", "www.a.com", "example.org", "c.net"])
+        steps = rng.choices(words, k=rng.randint(0, 4)) + rng.choices(["", f"n{rng.choice(string.ascii_lowercase)}"], k=1)
+        urls.append(f"http://{host}/" + "/".join(steps))
+    urls += [f"http://d.com/user/{a}{b}/{end}" for a in "abcdefgh" for b in "ijklmnop" for end in ("pay", "info")]
+    rules = URL_RULES | {"a.com/shop/": "block", "b.com/user/": "block", "c.net/item/pay": "allow"}
+    out = {r.page_id: r for r in judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    expected = templates_by_force(urls, rules)
+    assert len({t for t, _ in expected}) > 20
+    for i, (template, share) in enumerate(expected):
+        rule = rule_by_force(urls[i], rules)[2]
+        assert out[i].template == template and out[i].share == pytest.approx(share)
+        assert (out[i].rule, out[i].verdict) == (rule, rules[rule] if rule else "block" if share >= REJECT else "allow")
+    below = {out[i].template for i in range(len(urls) - 128, len(urls))}
+    assert below == {"/user/*/(alike)"}  # two branches below merged names, not one each
+
+
 def test_features_of_odd_texts():
     for text in (None, "", " ", "\n\n", "a", "é" * 50_000, "\ud7ff!|#"):
         x = quality_gam.text_features(text)
