@@ -240,6 +240,24 @@ def test_unsplit_text_is_encoded_by_halves():
         assert np.frombuffer(tool.encode(word), "<u4").tolist() == whole.encode(word, add_special_tokens=False).ids
 
 
+def test_texts_are_encoded_by_halves():
+    rng, whole = random.Random(3), Tokenizer.from_file(BPE_FILE)
+    tool = bpe.Bpe(BPE_FILE, leaf=8)
+    pieces = ["a", "word", "it's", "don't!!", "<|endoftext|>", "ΣΑΣ", "é", "漢字😀", "", "", "\n", "x" * 40, "\u00a0", "1234567890123", "internationalisation", "\u0301"]
+    texts = [" ".join(rng.choices(pieces, k=rng.randint(1, 60))) for _ in range(400)] + [" " * 50, " " + "q" * 99, "q" * 99 + " ", "q" * 99 + " b " + "q" * 99]
+    expected = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tool.encode_all(texts)] == expected
+    assert tool.joins > 1_000
+
+
+def test_documents_are_encoded_by_halves(spark, sf):
+    texts = [r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    tool, whole = bpe.Bpe(BPE_FILE), Tokenizer.from_file(BPE_FILE)
+    expected = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tool.encode_all(texts)] == expected
+    assert tool.joins >= sum(len(t) > bpe.LEAF for t in texts) > 0
+
+
 def test_registered_decontamination_has_sql():
     assert "op3_benchmark_decontamination" in ORACLES and set(ORACLES) <= set(QUERIES)
 

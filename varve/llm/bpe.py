@@ -1,10 +1,14 @@
-"""BPE encoding and decoding of whole texts, with tree concatenation for text that the pre-tokenizer cannot split.
+"""BPE encoding and decoding of whole texts by tree concatenation.
 
-Texts are cut at blanks, which no token of such a vocabulary crosses, and each distinct word is encoded once per
-worker. A pre-token longer than ``leaf`` characters is halved until its parts are short; the parts are encoded in
-parallel, and neighbours are put together by encoding a window of tokens around the join anew, growing it until its
-first token is the left side's own and its last token the right side's own. All neighbouring tokens of the result then
-stand next to each other in a whole encoding of some text, which makes it the encoding of the joined text.
+A text longer than ``leaf`` characters is halved, in the middle of words too, until its parts are short. The parts of
+all texts of a batch are encoded together, each distinct word once per worker, for no token of such a vocabulary crosses
+a blank. Neighbours are then put together, level by level: a window of words around the join is encoded anew as one
+text, and grows until it begins with the left side's own tokens and ends with the right side's own.
+
+A run without blanks longer than ``leaf`` is no place for such a cut. Its pre-tokens are halved by themselves, and
+windows of tokens grow until their first token is the left side's own and their last the right side's own. All
+neighbouring tokens of the result then stand next to each other in a whole encoding of some text, which makes it the
+encoding of the joined text.
 """
 
 from __future__ import annotations
@@ -30,9 +34,14 @@ KEPT_WORDS = 300_000  # distinct words that a worker remembers
 MARKS = "".join(c for c in string.punctuation if c != "'")
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 ROWS, CHARS = 256, 1 << 20  # rows of a slice, and characters that are split into words at a time
+Part = tuple[list[str], list[bytes]]  # words, or several of them as one, and the ids of each
 _LOADED: dict[tuple[str, int], "Bpe"] = {}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if LITTLE else np.array(ids, dtype="<u4").tobytes()
+
+
 class Bpe:
     """A tokenizer file of the ``tokenizers`` library with a BPE model, applied word by word."""
 
@@ -51,6 +60,7 @@ class Bpe:
         self.cut = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         size = self.whole.get_vocab_size()
         self.names = [self.whole.id_to_token(i) for i in range(size)]
+        self.joins = 0  # of halves of texts
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -74,13 +84,14 @@ class Bpe:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Words that are new in any of them are encoded together."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        ids, rest = self._known(set().union(*split))
+        halves = [self._halves(t.replace("\n", " ").replace("\t", " ").replace("\r", " ")) for t in texts]
+        split = [[part.split(" ") for part in parts] for parts in halves]
+        ids, rest = self._known(set().union(*(words for parts in split for words in parts)))
         parts = {w: self._parts(w) for w in rest}
         units, new = self._known({p for ps in parts.values() for p in ps})
         short = [p for p in new if len(p) <= self.leaf]
         for p, e in zip(short, self.whole.encode_batch(short, add_special_tokens=False), strict=True):
-            units[p] = self.words[p] = array("I", e.ids).tobytes() if LITTLE else np.array(e.ids, dtype="<u4").tobytes()
+            units[p] = self.words[p] = _packed(e.ids)
         for p in new:
             if len(p) > self.leaf:
                 units[p] = self.encode_unsplit(p)
@@ -90,7 +101,63 @@ class Bpe:
                 self.words[word] = ids[word]
         if len(self.words) > KEPT_WORDS // 2:
             self.words, self.older = {}, self.words
-        return [b"".join(map(ids.__getitem__, words)) for words in split]
+        trees = {i: [(words, [ids[w] for w in words]) for words in parts] for i, parts in enumerate(split) if len(parts) > 1}
+        self._concatenate(list(trees.values()))
+        return [b"".join(trees[i][0][1] if i in trees else map(ids.__getitem__, parts[0])) for i, parts in enumerate(split)]
+
+    def _halves(self, text: str) -> list[str]:
+        """The parts of a text in order, cut in the middle, but for runs without blanks of more than ``leaf`` characters."""
+        out, rest = [], [text]
+        while rest:
+            part = rest.pop()
+            at = len(part) // 2 if len(part) > self.leaf else 0
+            if at:
+                low, high = part.rfind(" ", 0, at), part.find(" ", at)
+                if (high if high >= 0 else len(part)) - low - 1 > self.leaf:
+                    at = high if high >= 0 else low + 1
+            if at:
+                rest += [part[at:], part[:at]]
+            else:
+                out.append(part)
+        return out
+
+    def _concatenate(self, trees: list[list[Part]]) -> None:
+        """Put the parts of each text together, neighbours of all texts at a time."""
+        while trees:
+            joined = iter(self._joined([(t[i], t[i + 1]) for t in trees for i in range(0, len(t) - 1, 2)]))
+            for t in trees:
+                t[:] = [next(joined) for _ in range(len(t) // 2)] + t[len(t) // 2 * 2 :]
+            trees = [t for t in trees if len(t) > 1]
+
+    def _joined(self, pairs: list[tuple[Part, Part]]) -> list[Part]:
+        """Each pair as one part. What is left of a window when both sides agree is one unit of the result."""
+        out: list = [None] * len(pairs)
+        open_, width = list(range(len(pairs))), 1
+        self.joins += len(pairs)
+        while open_:
+            windows = []
+            for at in open_:
+                (left, _), (right, _) = pairs[at]
+                a, b = max(0, len(left) - 1 - width), min(len(right), 1 + width)
+                a, b = a + (len(left[a]) > self.leaf and a < len(left) - 1), b - (len(right[b - 1]) > self.leaf and b > 1)
+                windows.append((at, a, b, [*left[a:-1], left[-1] + right[0], *right[1:b]]))
+            again = []
+            encoded = self.whole.encode_batch([" ".join(w) for *_, w in windows], add_special_tokens=False)
+            for (at, a, b, window), e in zip(windows, encoded, strict=True):
+                (left, mine), (right, yours) = pairs[at]
+                ids = _packed(e.ids)
+                whole = len(left) - 1 - width < 0 and len(right) - 1 - width < 0
+                first = mine[a] if a < len(left) - 1 and not whole else b""
+                final = yours[b - 1] if b > 1 and not whole else b""
+                if len(first) + len(final) <= len(ids) and ids.startswith(first) and ids.endswith(final):
+                    kept, end = (a + 1 if first else a), (b - 1 if final else b)
+                    inside = window[kept - a : len(window) - (b - end)]
+                    unit, middle = [" ".join(inside)], [ids[len(first) : len(ids) - len(final)]]
+                    out[at] = (left[:kept] + unit + right[end:], mine[:kept] + middle + yours[end:])
+                else:
+                    again.append(at)
+            open_, width = again, width * 2
+        return out
 
     def _known(self, words: set[str]) -> tuple[dict[str, bytes], list[str]]:
         """The ids of the words in memory, which has two halves (the older is dropped when both fill), and the others."""
