@@ -90,7 +90,7 @@ class Bpe:
         parts = {w: self._parts(w) for w in rest}
         units, new = self._known({p for ps in parts.values() for p in ps})
         short = [p for p in new if len(p) <= self.leaf]
-        for p, e in zip(short, self.whole.encode_batch(short, add_special_tokens=False), strict=True):
+        for p, e in zip(short, self.whole.encode_batch_fast(short, add_special_tokens=False), strict=True):
             units[p] = self.words[p] = _packed(e.ids)
         for p in new:
             if len(p) > self.leaf:
@@ -142,7 +142,7 @@ class Bpe:
                 a, b = a + (len(left[a]) > self.leaf and a < len(left) - 1), b - (len(right[b - 1]) > self.leaf and b > 1)
                 windows.append((at, a, b, [*left[a:-1], left[-1] + right[0], *right[1:b]]))
             again = []
-            encoded = self.whole.encode_batch([" ".join(w) for *_, w in windows], add_special_tokens=False)
+            encoded = self.whole.encode_batch_fast([" ".join(w) for *_, w in windows], add_special_tokens=False)
             for (at, a, b, window), e in zip(windows, encoded, strict=True):
                 (left, mine), (right, yours) = pairs[at]
                 ids = _packed(e.ids)
@@ -204,7 +204,7 @@ class Bpe:
         while bounds[1] > self.leaf:
             bounds = sorted({*bounds, *((a + b) // 2 for a, b in zip(bounds, bounds[1:]))})
         parts = [piece[a:b] for a, b in zip(bounds, bounds[1:])]
-        done = [e.ids for e in self.inner.encode_batch(parts[:-1], add_special_tokens=False)]
+        done = [e.ids for e in self.inner.encode_batch_fast(parts[:-1], add_special_tokens=False)]
         done.append(self.last.encode(parts[-1], add_special_tokens=False).ids)
         while len(done) > 1:
             joined = [self.join(done[i], done[i + 1], i + 2 == len(done)) for i in range(0, len(done) - 1, 2)]
