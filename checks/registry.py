@@ -417,15 +417,25 @@ def stream_restart(spark, sf):
     return _readings_out(spark.read.parquet(path))
 
 
+FILE_ROWS = 100_000
+
+
+def _part_files(spark, sf) -> int:
+    """The files of a quarter of the messages: more for more rows, so that no task has all of it."""
+    return 1 + I.table(spark, sf, "events").count() // (4 * FILE_ROWS)
+
+
 def _message_files(spark, sf, path: str, halves) -> None:
-    """Some messages as files of a folder that a stream reads."""
-    rows = I.messages(spark, sf).withColumn("__half", F.col("offset") % 4)
+    """Some messages as files of a folder that a stream reads. The texts are made after the rows are dealt out."""
+    events, files = I.table(spark, sf, "events"), _part_files(spark, sf)
     for half in halves:
-        rows.where(F.col("__half") == half).drop("__half").repartition(1).write.mode("append").parquet(path)
+        part = events.where(F.col("event_id") % 4 == half).repartition(files)
+        I.messages(spark, sf, part).write.mode("append").parquet(path)
 
 
 def _message_stream(spark, sf, path: str) -> DataFrame:
-    return spark.readStream.schema(I.messages(spark, sf).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    """A quarter of the messages at a time."""
+    return spark.readStream.schema(I.messages(spark, sf).schema).option("maxFilesPerTrigger", _part_files(spark, sf)).parquet(path)
 
 
 @query("rate_capped_stream", f"SELECT {BRONZE_COLUMNS} FROM bronze")

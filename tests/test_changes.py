@@ -366,3 +366,30 @@ def test_dedup_of_changes_follows_the_dedup(spark):
     both = keep_latest(rows.unionByName(newer))
     left = changes.without_keys(rows, added).unionByName(added)
     assert sorted(map(tuple, both.collect()), key=repr) == sorted(map(tuple, left.collect()), key=repr)
+
+
+def test_an_old_copy_that_ties_or_is_newer_stays(spark):
+    """Keys match by value over nulls, zeros of both signs and not-a-numbers; nothing of a reading changes unless the new copy is the latest of all."""
+    rows = silver.silver(silver.bronze(spark.createDataFrame([reading(i, 3, i) for i in range(1, 5)], MESSAGE), processed_at=at()))
+    odd = F.when(F.col("kafka_offset") == 1, None).when(F.col("kafka_offset") == 2, F.lit("nan").cast("double"))
+    rows = rows.withColumn("temperature", odd.otherwise(0.0))
+    added, dates = changes.silver_changes(rows, rows)
+    assert added.count() == 0 and dates == set()
+    later = F.col("processing_timestamp") + F.expr("INTERVAL 1 DAY")
+    newer = rows.withColumns({"processing_timestamp": later, "day": F.col("day") + 1, "temperature": odd.otherwise(-0.0)})
+    added, dates = changes.silver_changes(newer, rows)
+    assert added.count() == 4 and dates == {(2024, 1, 3), (2024, 1, 4)}
+    assert changes.without_keys(rows, added).count() == 0
+    last = rows.withColumns({"processing_timestamp": later + F.expr("INTERVAL 1 DAY"), "day": F.col("day") + 2})
+    added, dates = changes.silver_changes(newer, rows.unionByName(last))  # newer than one copy, not than the other
+    assert added.count() == 0 and dates == set()
+
+
+def test_bronze_is_searched_once_for_a_batch_that_did_not_fail(spark, tmp_path, monkeypatch):
+    lake, searched, search = changes.Lake(str(tmp_path / "lake")), [], changes.unknown_messages
+    monkeypatch.setattr(changes, "unknown_messages", lambda *args: searched.append(1) or search(*args))
+    rows = [reading(i, 1 + i, 1 + i) for i in range(3)]
+    for number in range(2):  # the second batch brings a message again
+        assert silver_streams.apply_batch(spark.createDataFrame(rows[number : number + 2], MESSAGE), number, lake, processed_at=at())
+    assert len(searched) == 2
+    assert spark.read.parquet(lake.bronze).count() == 3 and spark.read.parquet(lake.silver).count() == 3

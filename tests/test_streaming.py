@@ -78,3 +78,19 @@ def test_dedup_is_no_stream_operator(spark, tmp_path):
     rows = silver.silver(silver.bronze(source(spark, inbox)))
     with pytest.raises(Exception, match="NON_TIME_WINDOW_NOT_SUPPORTED_IN_STREAMING|window"):
         rows.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination(30)
+
+
+def test_parts_of_the_messages_are_dealt_out(spark, sf, tmp_path, monkeypatch):
+    """A part of many rows is several files, so no task has all of it, and still one micro-batch."""
+    from checks import registry
+
+    monkeypatch.setattr(registry, "FILE_ROWS", 100, raising=False)
+    inbox = str(tmp_path / "in")
+    registry._message_files(spark, sf, inbox, (0, 1))
+    sizes = [r["count"] for r in spark.read.parquet(inbox).groupBy(F.input_file_name()).count().collect()]
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    halves = [events.where(F.col("event_id") % 4 == half).count() for half in (0, 1)]
+    assert sum(sizes) == sum(halves) and max(sizes) <= 2 * 100
+    q = streams.bronze_stream(registry._message_stream(spark, sf, inbox), str(tmp_path / "b"), str(tmp_path / "c"), trigger=None)
+    assert q.awaitTermination(120)
+    assert [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]] == halves

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +23,7 @@ from .. import schemas
 from ..operators import gold as G
 from ..operators import quality as Q
 from ..operators import silver as S
-from ..operators.dedup import keep_latest
+from ..operators.dedup import LATEST_FIRST
 from ..session import cut
 from ..sinks.files import check_apart, write_partitioned
 from ..sinks.swap import Folders, recover, replace
@@ -105,42 +105,62 @@ def dates_to_search(zones: DataFrame, rows: DataFrame) -> set[Date]:
     return dates_of(zones.join(days, meets, "left_semi"))
 
 
-def silver_changes(rows: DataFrame, old: DataFrame) -> tuple[DataFrame, set[Date]]:
+def contested(rows: DataFrame, old: DataFrame) -> DataFrame:
+    """Copies in ``old`` of readings that new silver ``rows`` bring again: their key and date, and whether the new one is ``__newer``.
+
+    Null keys are keys of their own, as in the dedup. Of copies that tie, the old one stays, so that rows that silver has
+    already change nothing. Only keys, order and dates go through the join.
+    """
+    when = F.struct(*LATEST_FIRST)
+    copies = _keyed(old).select("__hash", "__key", *C.DEDUP_KEYS, *C.DATE_PARTS, when.alias("__old"))
+    fresh = _keyed(rows).select("__hash", "__key", when.alias("__when"))
+    found = copies.join(fresh, ["__hash", "__key"])
+    return found.select(*C.DEDUP_KEYS, *C.DATE_PARTS, (F.col("__when") > F.col("__old")).alias("__newer"))
+
+
+def silver_changes(rows: DataFrame, old: DataFrame, keep: Callable[[DataFrame], DataFrame] = cut) -> tuple[DataFrame, set[Date]]:
     """What new silver ``rows`` change in ``old``, the part of silver that may hold copies of them.
 
     Gives the rows that are now the latest of their key, and the dates that change: theirs, and those of the copies that
-    they replace. Null keys are keys of their own, as in the dedup.
+    they replace. ``keep`` sets down the contested copies, so that ``old`` is searched once.
     """
-    key = F.struct(*[F.col(c) for c in C.DEDUP_KEYS])
-    fresh = rows.withColumn("__key", key)
-    rivals = old.select(*schemas.SILVER.names).withColumn("__key", key).join(fresh.select("__key"), "__key", "left_semi").drop("__key")
-    both = rivals.withColumn("__new", F.lit(False)).unionByName(rows.withColumn("__new", F.lit(True)))
-    added = cut(keep_latest(both).where("__new").drop("__new"))
-    lost = rivals.withColumn("__key", key).join(added.select(key.alias("__key")), "__key", "left_semi")
+    found = keep(contested(rows, old))
+    stale = found.where("not __newer")
+    added, lost = without_keys(rows, stale), without_keys(found, stale)
     return added, dates_of(added) | dates_of(lost)
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    """With the key of the dedup, and its hash, by which joins sort much faster than by the key."""
+    return df.withColumns({"__hash": F.xxhash64(*C.DEDUP_KEYS), "__key": F.struct(*C.DEDUP_KEYS)})
+
+
 def without_keys(old: DataFrame, added: DataFrame) -> DataFrame:
-    key = F.struct(*[F.col(c) for c in C.DEDUP_KEYS])
-    return old.withColumn("__key", key).join(added.select(key.alias("__key")), "__key", "left_anti").select(*old.columns)
+    return _keyed(old).join(_keyed(added).select("__hash", "__key"), ["__hash", "__key"], "left_anti").select(*old.columns)
+
 
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """``df`` from files, whose size and columns later plans know."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def upsert_silver(spark: SparkSession, rows: DataFrame, lake: Lake, note: str) -> set[Date]:
+
+def upsert_silver(spark: SparkSession, rows: DataFrame, lake: Lake, change: str) -> set[Date]:
     """Bring silver up to date with bronze ``rows`` and give the dates that changed.
 
-    ``note`` is a file name for these dates. They are set down before silver changes, since a repeated run no longer
-    sees which copies lost.
+    The dates are set down in the folder of the change set before silver changes, since a repeated run no longer sees
+    which copies lost.
     """
-    folders = Folders(spark, lake.root)
+    folders, note = Folders(spark, lake.root), f"{change}/dates"
     earlier = {tuple(line.split(",")) for line in folders.read(note).split()} if folders.exists(note) else set()
     changed = {tuple(None if v == "" else int(v) for v in d) for d in earlier}
-    fresh = cut(S.silver(rows))
+    fresh = _kept(S.silver(rows), f"{change}/fresh")
     if not folders.exists(lake.silver):
         old = spark.createDataFrame([], schemas.SILVER)
     else:
         whole = spark.read.schema(schemas.SILVER).parquet(lake.silver)
         old = on_dates(whole, dates_to_search(spark.read.schema(ZONES).parquet(lake.zones), fresh))
-    added, dates = silver_changes(fresh, old)
+    added, dates = silver_changes(fresh, old, lambda found: _kept(found, f"{change}/contested"))
     changed |= dates
     folders.write(f"{note}.new", "\n".join(",".join("" if v is None else str(v) for v in d) for d in sorted(changed, key=repr)))
     folders.delete(note)
@@ -191,8 +211,8 @@ def run_changes(
     for change in waiting:
         dates |= _layer(spark, change, lake, gold_at, suite)
     change = f"{lake.changes}/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    set_down(S.bronze(messages, source, processed_at=processed_at), lake, change)
-    dates |= _layer(spark, change, lake, gold_at, suite)
+    fresh = set_down(S.bronze(messages, source, processed_at=processed_at), lake, change)
+    dates |= _layer(spark, change, lake, gold_at, suite, fresh)
     if not folders.exists(lake.silver):
         folders.delete(change)
         raise LayerFailed("silver: no data")
@@ -220,11 +240,15 @@ def take_over(spark: SparkSession, lake: Lake, suite: Q.Suite | None = None) ->
             replace(count(spark.read.parquet(table)), path, cols=())
 
 
-def set_down(bronze: DataFrame, lake: Lake, change: str) -> None:
-    """Write the bronze rows that the lake has not got yet as a change set; one that is there whole stays as it is."""
+def set_down(bronze: DataFrame, lake: Lake, change: str) -> bool:
+    """Write the bronze rows that the lake has not got yet as a change set; one that is there whole stays as it is.
+
+    Whether it was written now, so that none of its rows can be in the lake.
+    """
     folders = Folders(bronze.sparkSession, lake.root)
-    if not folders.exists(f"{change}/rows/_SUCCESS"):
+    if fresh := not folders.exists(f"{change}/rows/_SUCCESS"):
         unknown_messages(bronze, lake).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{change}/rows")
+    return fresh
 
 
 def read_gold(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -233,8 +257,11 @@ def read_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.read.schema(schema).parquet(lake.gold)
 
 
-def change_silver(spark: SparkSession, change: str, lake: Lake) -> set[Date]:
-    """One change set through bronze, silver and the zones; the dates that changed."""
+def change_silver(spark: SparkSession, change: str, lake: Lake, fresh: bool = False) -> set[Date]:
+    """One change set through bronze, silver and the zones; the dates that changed.
+
+    Of a set that an earlier run may have begun with, bronze takes what it has not got; of a ``fresh`` one it takes all.
+    """
     rows = spark.read.schema(schemas.BRONZE).parquet(f"{change}/rows")
     if rows.isEmpty():
         return set()
@@ -242,16 +269,16 @@ def change_silver(spark: SparkSession, change: str, lake: Lake) -> set[Date]:
     known = spark.read.schema(OFFSETS).parquet(lake.offsets) if Folders(spark, lake.root).exists(lake.offsets) else spark.createDataFrame([], OFFSETS)
     merged = known.unionByName(offset_zones(rows)).groupBy(*C.DATE_PARTS, "data_source", "kafka_partition").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     replace(merged, lake.offsets, cols=())
-    write_partitioned(unknown_messages(rows, lake), lake.bronze, replace="nothing")
-    dates = upsert_silver(spark, rows, lake, f"{change}/dates")
+    write_partitioned(rows if fresh else unknown_messages(rows, lake), lake.bronze, replace="nothing")
+    dates = upsert_silver(spark, rows, lake, change)
     if dates:
         refresh(spark, event_zones(on_dates(spark.read.schema(schemas.SILVER).parquet(lake.silver), dates)), lake.zones, ZONES, dates)
     return dates
 
 
-def _layer(spark: SparkSession, change: str, lake: Lake, gold_at: Column | None, suite: Q.Suite) -> set[Date]:
+def _layer(spark: SparkSession, change: str, lake: Lake, gold_at: Column | None, suite: Q.Suite, fresh: bool = False) -> set[Date]:
     """One change set through bronze, silver, gold and the counters; the dates that changed."""
-    dates = change_silver(spark, change, lake)
+    dates = change_silver(spark, change, lake, fresh)
     if not dates:
         return dates
     silver = on_dates(spark.read.schema(schemas.SILVER).parquet(lake.silver), dates)

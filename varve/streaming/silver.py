@@ -30,8 +30,8 @@ def apply_batch(messages: DataFrame, number: int, lake: Lake, source: str = C.WE
         recover(spark, path)
     take_over(spark, lake)
     folders, change = Folders(spark, lake.root), f"{lake.changes}/batch-{number}"
-    set_down(bronze(messages, source, processed_at=processed_at), lake, change)
-    change_silver(spark, change, lake)
+    fresh = set_down(bronze(messages, source, processed_at=processed_at), lake, change)
+    change_silver(spark, change, lake, fresh)
     folders.write(f"{lake.changes}/last-{number}", str(number))
     folders.delete(f"{lake.changes}/last")
     folders.move(f"{lake.changes}/last-{number}", f"{lake.changes}/last")
